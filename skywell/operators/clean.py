@@ -41,6 +41,20 @@ def type_columns(df: DataFrame) -> DataFrame:
     ).withColumns({"timestamp": F.trim("timestamp").try_cast("timestamp_ntz"), **{c: null_sentinel(c) for c in SENSORS}})
 
 
+def only(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows that meet a condition over many columns.
+
+    Each row emits itself or nothing. A filter would do the same, but the optimizer then restates
+    a condition over k renamed columns in 2^k ways when the result is joined.
+    """
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*df.columns)))))
+
+
+def in_ranges(ranges=CLEAN_RANGES) -> Column:
+    """True when no value leaves its range; one test per column, so each can be pushed down."""
+    return reduce(lambda a, b: a & b, [~outside(c, low, high) for c, (low, high) in ranges.items()])
+
+
 def count_sentinels(df: DataFrame, sentinel: float = SENTINEL) -> DataFrame:
     """Cells that hold the missing-value marker."""
     cells = reduce(lambda a, b: a + b, [F.count_if(F.col(c) == sentinel) for c in SENSORS])

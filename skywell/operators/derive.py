@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from skywell.functions.attach import attach
 from skywell.functions.scalars import comfort_index, cyclic, season, weekday
@@ -23,16 +23,23 @@ def calendar_features(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def air_quality_index(df: DataFrame, scope=(), weights=INDEX_WEIGHTS) -> DataFrame:
-    """D3: weighted share of each pollutant's maximum within the scope."""
-    tops = df.groupBy(*scope).agg(*[F.max(c).alias(c) for c in weights])
+def air_quality_index(df: DataFrame, scope=(), weights=INDEX_WEIGHTS, bounded: bool = False) -> DataFrame:
+    """D3: weighted share of each pollutant's maximum within the scope.
+
+    For `bounded` scopes (micro-batches) the maximum is a window, which needs no join.
+    """
 
-    def term(c, weight):
-        top = F.col(f"_top.{c}")
-        return F.when(top > 0, F.col(c) / top).otherwise(F.lit(0.0)) * weight
+    def index(top):
+        terms = [F.when(top(c) > 0, F.col(c) / top(c)).otherwise(F.lit(0.0)) * w for c, w in weights.items()]
+        return reduce(lambda a, b: a + b, terms) * 100
 
-    total = reduce(lambda a, b: a + b, [term(c, w) for c, w in weights.items()])
-    return attach(df, tops, scope, "_top").withColumn("air_quality_index", total * 100).drop("_top")
+    if bounded:
+        own = W.partitionBy(*scope)
+        tops = df.withColumns({f"_top_{c}": F.max(c).over(own) for c in weights})
+        return tops.withColumn("air_quality_index", index(lambda c: F.col(f"_top_{c}"))).drop(*[f"_top_{c}" for c in weights])
+    tops = df.groupBy(*scope).agg(*[F.max(c).alias(c) for c in weights])
+    rows = attach(df, tops, scope, "_top")
+    return rows.withColumn("air_quality_index", index(lambda c: F.col(f"_top.{c}"))).drop("_top")
 
 
 def with_comfort_index(df: DataFrame) -> DataFrame:
@@ -46,6 +53,6 @@ def cyclic_encode(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({"sin_hour": sin_hour, "cos_hour": cos_hour})
 
 
-def add_derived(df: DataFrame, ts: str, scope=()) -> DataFrame:
+def add_derived(df: DataFrame, ts: str, scope=(), bounded: bool = False) -> DataFrame:
     """D1-D4 in the column order of the clean table."""
-    return with_comfort_index(air_quality_index(calendar_features(df, ts), scope))
+    return with_comfort_index(air_quality_index(calendar_features(df, ts), scope, bounded=bounded))

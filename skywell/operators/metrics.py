@@ -14,7 +14,7 @@ BATCHES_PER_BUCKET = (10_000, 1000)
 
 
 def batch_metrics(scored: DataFrame, batch: str, messages: DataFrame, ignore=()) -> DataFrame:
-    """F1: one metrics row per micro-batch. `messages` has `batch, messages, seconds, at`."""
+    """F1: one metrics row per micro-batch. `messages` has `batch, messages, seconds, batch_time`."""
     verdicts = validate(scored, [batch], ignore).drop("range_details")
     zeros = [c for c in verdicts.columns if c != batch]
     return messages.join(verdicts, batch, "left").fillna(0, subset=zeros)
@@ -60,7 +60,7 @@ def running_quality(metrics: DataFrame, batch: str, widths=BATCHES_PER_BUCKET) -
     )
 
 
-def alerts(metrics: DataFrame, batch: str = "batch_id", at: str = "at") -> DataFrame:
+def alerts(metrics: DataFrame, batch: str = "batch_id", at: str = "batch_time") -> DataFrame:
     """the alerts each batch raises."""
     errors = F.col("total_records") - F.col("valid_records")
     rules = [
@@ -94,7 +94,7 @@ def error_counts(errors: DataFrame) -> DataFrame:
     return errors.groupBy("type").agg(F.count("*").alias("n"))
 
 
-def throughput(metrics: DataFrame, at: str = "at") -> DataFrame:
+def throughput(metrics: DataFrame, at: str = "batch_time") -> DataFrame:
     """uptime and messages per second between the first and the last batch."""
     uptime = F.timestamp_diff("SECOND", F.min(at), F.max(at))
     return metrics.agg(
@@ -104,12 +104,12 @@ def throughput(metrics: DataFrame, at: str = "at") -> DataFrame:
     )
 
 
-def recent_alerts(raised: DataFrame, as_of: Column, hours: int = 24, at: str = "at") -> DataFrame:
+def recent_alerts(raised: DataFrame, as_of: Column, hours: int = 24, at: str = "batch_time") -> DataFrame:
     """alerts newer than `hours` before `as_of`."""
     return raised.filter(F.col(at) > as_of - F.expr(f"INTERVAL {hours} HOURS"))
 
 
-def latest_alerts(raised: DataFrame, n: int = 5, at: str = "at") -> DataFrame:
+def latest_alerts(raised: DataFrame, n: int = 5, at: str = "batch_time") -> DataFrame:
     """the newest alerts, for the status line."""
     return raised.orderBy(F.col(at).desc(), F.col("type")).limit(n)
 

@@ -16,6 +16,7 @@ from skywell.functions.attach import attach, null_safe_join
 from skywell.operators.features import chronological_split, series_bounds
 from skywell.operators.ordered import DAY, HOUR, halo
 from skywell.schema import SEASONAL_CANDIDATES
+from skywell.session import settle
 
 SEASON = 24
 LONG_LAGS = [1, 2, 3, 4, 5, 6, 24, 25, 26, 48, 49, 72]
@@ -208,11 +209,12 @@ def fit_seasonal_ar(
     """The chosen model of each series and the tails its forecasts start from.
 
     Every candidate forecasts the whole validation part from the end of train; the lowest RMSE
-    wins, the first on a tie, and its train + val fit is returned with `val_rmse`.
+    wins, the first on a tie, and its train + val fit is returned with `val_rmse`. The lag table
+    is written once, since fitting, trial and tails all read it.
     """
     keys = list(keys)
-    rows = chronological_split(
-        seasonal_rows(df, ts, target, keys), ts, keys, series_bounds(df, ts, keys)
+    rows = settle(
+        chronological_split(seasonal_rows(df, ts, target, keys), ts, keys, series_bounds(df, ts, keys))
     )
     fitted = _fit_candidates(rows, keys, candidates)
     sizes = rows.filter("split = 'val'").groupBy(*keys).agg(F.count("*").cast("int").alias("steps"))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from skywell.operators.clean import (
-    exclusion_details, impute, range_exclusion, type_columns,
+    exclusion_details, impute, in_ranges, only, range_exclusion, type_columns,
 )
 from skywell.operators.derive import add_derived
 from skywell.operators.quality import with_quality_score
@@ -16,12 +16,12 @@ def judge(flat: DataFrame, scope, order, widths=(), ranges=CLEAN_RANGES) -> tupl
     Unusable rows leave before imputation; range checks see imputed values.
     """
     typed = type_columns(flat)
-    usable = typed.filter(F.col("exclusion_reason").isNull()).drop("exclusion_reason")
-    checked = impute(usable, scope, order, widths).withColumn("exclusion_reason", range_exclusion(ranges))
-    refused = typed.filter(F.col("exclusion_reason").isNotNull()).unionByName(
-        checked.filter(F.col("exclusion_reason").isNotNull())
+    reason = F.col("exclusion_reason")
+    filled = impute(only(typed, reason.isNull()).drop("exclusion_reason"), scope, order, widths)
+    refused = only(typed, reason.isNotNull()).unionByName(
+        only(filled.withColumn("exclusion_reason", range_exclusion(ranges)), reason.isNotNull())
     )
-    kept = checked.filter(F.col("exclusion_reason").isNull()).drop("exclusion_reason")
+    kept = only(filled, in_ranges(ranges))
     return kept, refused.withColumn("exclusion_details", exclusion_details("exclusion_reason", ranges))
 
 
@@ -29,7 +29,7 @@ def process_batch(flat: DataFrame, scope, order, widths=(), ranges=CLEAN_RANGES)
     """The clean table's rows, derived and scored, and the quarantined rows."""
     kept, refused = judge(flat, scope, order, widths, ranges)
     extra = [c for c in flat.columns if c not in FLAT_COLUMNS]
-    clean = with_quality_score(add_derived(kept, "timestamp", scope), ignore=extra)
+    clean = with_quality_score(add_derived(kept, "timestamp", scope, bounded=not widths), ignore=extra)
     return (
         clean.select(*extra, *FLAT_COLUMNS, *DERIVED_COLUMNS, "quality_score"),
         refused.select(*extra, *FLAT_COLUMNS, "exclusion_reason", "exclusion_details"),

@@ -1,6 +1,6 @@
 """Sensor messages over Kafka or files."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skywell.schema import MESSAGE_SCHEMA, SENSOR_HEADERS
 
@@ -20,11 +20,12 @@ def to_messages(raw: DataFrame, source: str, simulation: bool = True) -> DataFra
     )
 
 
-def keyed(messages: DataFrame, ts: Column | None = None) -> DataFrame:
-    """A5: `key` (epoch seconds as text) and JSON `value`."""
-    event = F.col("timestamp").try_cast("timestamp_ntz") if ts is None else ts
+def keyed(messages: DataFrame, keep=()) -> DataFrame:
+    """A5: `key` (epoch seconds as text) and JSON `value`, after the columns to `keep`."""
+    event = F.col("timestamp").try_cast("timestamp_ntz")
     seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), event)
     return messages.select(
+        *keep,
         F.concat(seconds.cast("string"), F.lit(".0")).alias("key"),
         F.to_json(F.struct("timestamp", "date", "time", "sensor_data", "metadata")).alias("value"),
     )

@@ -35,7 +35,7 @@ def ingest_batch(
     rows = kept.select("batch_id").unionByName(refused.select("batch_id"))
     stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
     totals = rows.groupBy("batch_id").agg(
-        F.count("*").alias("messages"), F.lit(time.time() - started).alias("seconds"), stamp.alias("at")
+        F.count("*").alias("messages"), F.lit(time.time() - started).alias("seconds"), stamp.alias("batch_time")
     )
     metrics = batch_metrics(kept, "batch_id", totals)
     write_by_batch(metrics, f"{out}/metrics", batch_id)
