@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from skywell.functions.attach import attach, melt
+from skywell.functions.scalars import count_where
 
 
 def exact_quantiles(df: DataFrame, cols, probs, keys=(), accuracy: int = 20_000) -> DataFrame:
@@ -47,7 +48,7 @@ def exact_quantiles(df: DataFrame, cols, probs, keys=(), accuracy: int = 20_000)
         F.count("*").alias("cnt"),
         F.max("n").alias("n"),
         *[F.max(f"e{i}").alias(f"e{i}") for i in range(2 * k)],
-        *[F.count_if(F.col("v") < F.col(f"e{i}")).alias(f"b{i}") for i in range(k)],
+        *[count_where(F.col("v") < F.col(f"e{i}")).alias(f"b{i}") for i in range(k)],
         *[F.max(F.when(F.col("v") < F.col(f"e{i}"), F.col("v"))).alias(f"p{i}") for i in range(k)],
         *[F.min(F.when(F.col("v") > F.col(f"e{k + i}"), F.col("v"))).alias(f"s{i}") for i in range(k)],
     )

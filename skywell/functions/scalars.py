@@ -11,6 +11,15 @@ def as_col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
 
 
+def count_where(condition: Column) -> Column:
+    """Rows that meet a condition.
+
+    `count_if` would name each condition in a projection of its own, and the optimizer then
+    restates a score over k such conditions in 2^k ways.
+    """
+    return F.count(F.when(condition, F.lit(1)))
+
+
 def parse_locale_number(c) -> Column:
     """Text with a decimal comma to double; the first numeric token, or NULL."""
     token = F.regexp_extract(F.replace(as_col(c).cast("string"), F.lit(","), F.lit(".")), NUMBER_PATTERN, 1)
@@ -19,7 +28,7 @@ def parse_locale_number(c) -> Column:
 
 def null_sentinel(c, sentinel: float = SENTINEL) -> Column:
     """The missing-value marker to NULL."""
-    return F.nullif(as_col(c), F.lit(sentinel))
+    return F.when(as_col(c) != sentinel, as_col(c))
 
 
 def weekday(ts) -> Column:

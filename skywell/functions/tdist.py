@@ -3,7 +3,7 @@
 import math
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -38,7 +38,7 @@ def two_sided_p(t: float | None, dof: float | None) -> float | None:
     return 1.0 - math.exp(front) * _beta_fraction(b, a, 1.0 - x) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([two_sided_p(a, b) for a, b in zip(t, dof)], dtype="float64")
 

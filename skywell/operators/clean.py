@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skywell.functions.attach import melt
-from skywell.functions.scalars import null_sentinel, outside, parse_locale_number
+from skywell.functions.scalars import count_where, null_sentinel, outside, parse_locale_number
 from skywell.operators.grid import between, fill_mean, neighbours
 from skywell.operators.ordered import POSITION, LastBefore, running
 from skywell.schema import AVERAGED, CARRIED, CLEAN_RANGES, INTERPOLATED, SENSORS, SENTINEL
@@ -57,7 +57,7 @@ def in_ranges(ranges=CLEAN_RANGES) -> Column:
 
 def count_sentinels(df: DataFrame, sentinel: float = SENTINEL) -> DataFrame:
     """Cells that hold the missing-value marker."""
-    cells = reduce(lambda a, b: a + b, [F.count_if(F.col(c) == sentinel) for c in SENSORS])
+    cells = reduce(lambda a, b: a + b, [count_where(F.col(c) == sentinel) for c in SENSORS])
     return df.agg(cells.alias("sentinel_cells"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from skywell.functions.attach import attach, melt, null_safe_join
 from skywell.functions.quantiles import exact_quantiles
-from skywell.functions.scalars import weekday
+from skywell.functions.scalars import count_where, weekday
 from skywell.functions.tdist import t_pvalue
 
 
@@ -91,7 +91,7 @@ def box_stats(df: DataFrame, cols, keys=()) -> DataFrame:
                 F.max(f"_f.{c}.q3").alias("q3"),
                 F.min(F.when(inside(c), F.col(c))).cast("double").alias("whisker_low"),
                 F.max(F.when(inside(c), F.col(c))).cast("double").alias("whisker_high"),
-                F.count_if(~inside(c)).alias("outliers"),
+                count_where(~inside(c)).alias("outliers"),
             ).alias(c)
             for c in cols
         ]

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from skywell.functions.attach import attach
-from skywell.functions.scalars import epoch_seconds
+from skywell.functions.scalars import count_where, epoch_seconds
 from skywell.operators.explore import correlation_matrix, temporal_patterns
 from skywell.operators.ordered import HOUR
 from skywell.operators.outliers import zscore_outliers
@@ -76,7 +76,7 @@ def live_patterns(windows: DataFrame, ts: str, cols=POLLUTANTS, keys=(), need: i
 
 def live_summary(df: DataFrame, windows: DataFrame, anomalies: DataFrame, ts: str) -> DataFrame:
     """Rows seen, latest time, fill of each window, current anomalies."""
-    fill = windows.groupBy().agg(*[F.count_if(F.col("window") == w).alias(w) for w in LIVE_WINDOWS])
+    fill = windows.groupBy().agg(*[count_where(F.col("window") == w).alias(w) for w in LIVE_WINDOWS])
     return df.agg(F.count("*").alias("total_records"), F.max(ts).alias("last_update")).withColumns(
         {
             "_f": fill.select(F.struct("*")).scalar(),

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from skywell.functions.scalars import count_where
 from skywell.operators.ordered import Before, running
 from skywell.operators.quality import validate
 from skywell.schema import (
@@ -117,7 +118,7 @@ def latest_alerts(raised: DataFrame, n: int = 5, at: str = "batch_time") -> Data
 def preprocessing_stats(df: DataFrame) -> DataFrame:
     """F8: rows, remaining sentinels, derived columns present and numeric columns."""
     numeric = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "byte")]
-    left = reduce(lambda a, b: a + b, [F.count_if(F.col(c) == SENTINEL) for c in numeric])
+    left = reduce(lambda a, b: a + b, [count_where(F.col(c) == SENTINEL) for c in numeric])
     return df.agg(
         F.count("*").alias("total_records"),
         left.alias("remaining_sentinels"),

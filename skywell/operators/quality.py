@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skywell.functions.scalars import as_col, outside
+from skywell.functions.scalars import as_col, count_where, outside
 from skywell.schema import VALID_RANGES
 
 
@@ -35,8 +35,8 @@ def range_profile(df: DataFrame, rules=VALID_RANGES, by=()) -> DataFrame:
     wide = df.groupBy(*by).agg(
         *[
             F.struct(
-                F.count_if(F.col(c) < low).alias("below_min"),
-                F.count_if(F.col(c) > high).alias("above_max"),
+                count_where(F.col(c) < low).alias("below_min"),
+                count_where(F.col(c) > high).alias("above_max"),
                 F.min(c).alias("min_value"),
                 F.max(c).alias("max_value"),
             ).alias(c)
@@ -51,7 +51,7 @@ def range_profile(df: DataFrame, rules=VALID_RANGES, by=()) -> DataFrame:
 
 def consistency_profile(df: DataFrame, by=()) -> DataFrame:
     """Rows that fail each cross-field check; checks without failures are not listed."""
-    wide = df.groupBy(*by).agg(*[F.count_if(test()).alias(n) for n, (_, test) in CONSISTENCY.items()])
+    wide = df.groupBy(*by).agg(*[count_where(test()).alias(n) for n, (_, test) in CONSISTENCY.items()])
     entries = F.array(
         *[
             F.struct(F.lit(n).alias("check"), F.lit(text).alias("description"), F.col(n).alias("violations"))
@@ -66,7 +66,7 @@ def completeness(df: DataFrame, columns=None, by=()) -> DataFrame:
     columns = columns or [c for c in df.columns if c not in by]
     return (
         df.groupBy(*by)
-        .agg(_sum([F.count_if(F.col(c).isNull()) for c in columns]).alias("missing_cells"),
+        .agg(_sum([count_where(F.col(c).isNull()) for c in columns]).alias("missing_cells"),
              (F.count("*") * len(columns)).alias("total_cells"))
         .withColumn(
             "score",
@@ -94,10 +94,10 @@ def with_quality_score(df: DataFrame, ignore=(), rules=VALID_RANGES) -> DataFram
 def _distribution(score: Column) -> dict[str, Column]:
     # Class limits of the quality score.
     return {
-        "excellent": F.count_if(score >= 0.9),
-        "good": F.count_if((score >= 0.7) & (score < 0.9)),
-        "fair": F.count_if((score >= 0.5) & (score < 0.7)),
-        "poor": F.count_if(score < 0.5),
+        "excellent": count_where(score >= 0.9),
+        "good": count_where((score >= 0.7) & (score < 0.9)),
+        "fair": count_where((score >= 0.5) & (score < 0.7)),
+        "poor": count_where(score < 0.5),
     }
 
 
@@ -115,24 +115,24 @@ def validate(df: DataFrame, by=(), ignore=(), rules=VALID_RANGES) -> DataFrame:
     violations = F.struct(
         *[
             F.struct(
-                F.count_if(F.col(c) < low).alias("below_min"),
-                F.count_if(F.col(c) > high).alias("above_max"),
+                count_where(F.col(c) < low).alias("below_min"),
+                count_where(F.col(c) > high).alias("above_max"),
                 F.min(c).alias("min_value"),
                 F.max(c).alias("max_value"),
             ).alias(c)
             for c, (low, high) in rules.items()
         ]
     )
-    missing = _sum([F.count_if(F.col(c).isNull()) for c in scored])
+    missing = _sum([count_where(F.col(c).isNull()) for c in scored])
     cells = F.count("*") * len(scored)
     score = F.col("quality_score")
     return df.groupBy(*by).agg(
         F.count("*").alias("total_records"),
-        F.count_if(score >= 0.7).alias("valid_records"),
+        count_where(score >= 0.7).alias("valid_records"),
         _sum(
-            [F.count_if(F.col(c) < low) + F.count_if(F.col(c) > high) for c, (low, high) in rules.items()]
+            [count_where(F.col(c) < low) + count_where(F.col(c) > high) for c, (low, high) in rules.items()]
         ).alias("range_violations"),
-        _sum([(F.count_if(test()) > 0).cast("int") for _, test in CONSISTENCY.values()]).cast("bigint")
+        _sum([(count_where(test()) > 0).cast("int") for _, test in CONSISTENCY.values()]).cast("bigint")
         .alias("consistency_violations"),
         F.when(F.count("*") > 0, (cells - missing) / cells).otherwise(0.0).alias("completeness_score"),
         F.coalesce(F.avg(score), F.lit(0.0)).alias("average_quality_score"),

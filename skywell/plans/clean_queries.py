@@ -7,6 +7,7 @@ from skywell.plans import ctes, fixtures
 from skywell.plans.pipeline import process_batch
 from skywell.plans.registry import final, query, rounded
 from skywell.schema import CARRIED, DERIVED_COLUMNS, FLAT_COLUMNS, INTERPOLATED, SENSORS
+from skywell.session import settle
 from skywell.sources.messages import decode, keyed
 
 BATCH, ORDER = ["batch_id"], "event_id"
@@ -308,12 +309,16 @@ def preprocessing_stats(spark, sf_dir):
 
 
 def batches(spark, sf_dir) -> DataFrame:
-    """One metrics row per micro-batch; its seconds are a reading of the batch's own events."""
+    """One metrics row per micro-batch; its seconds are a reading of the batch's own events.
+
+    As in the ingest job, verdicts are taken on the written clean rows.
+    """
+    written = settle(cleaned(spark, sf_dir)[0])
     events = fixtures.events(spark, sf_dir)
     arrived = events.groupBy(F.expr("event_id div 10").alias("batch_id")).agg(
         F.count("*").alias("messages"), (F.max("value") / 20).alias("seconds"), F.max("ts").alias("batch_time")
     )
-    return metrics.batch_metrics(cleaned(spark, sf_dir)[0], "batch_id", arrived, ignore=["event_id"])
+    return metrics.batch_metrics(written, "batch_id", arrived, ignore=["event_id"])
 
 
 FILLED = ", ".join(f"coalesce(v.{c}, 0) AS {c}" for c in [*VERDICT_PLAIN, "completeness_score", "average_quality_score"])
