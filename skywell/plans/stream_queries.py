@@ -1 +1,101 @@
-"""Queries."""
+"""Queries that run a bounded stream over the given tables and read what it wrote."""
+
+import uuid
+
+from pyspark.sql import DataFrame, functions as F
+
+from skywell.plans import ctes, explore_queries, fixtures
+from skywell.plans.registry import final, query, rounded
+from skywell.schema import POLLUTANTS, SENSORS
+from skywell.session import checkpoint_dir
+from skywell.sources.messages import keyed, read_messages
+from skywell.streaming.ingest import read_ingested, run_ingest
+from skywell.streaming.live import run_live_analytics, tail_clean
+
+FILES, FILES_PER_BATCH = 6, 2
+DAY_SCOPE = ["source", "date"]
+
+
+def folder(spark) -> str:
+    return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4()}"
+
+
+def ingested(spark, sf_dir) -> str:
+    """Publish every message as files of whole days, ingest them in several micro-batches."""
+    base = folder(spark)
+    raw = fixtures.raw_messages(spark, sf_dir)
+    keyed(raw, keep=["date"]).repartition(FILES, "date").drop("date").write.json(f"{base}/topic")
+    messages = read_messages(spark, "json", f"{base}/topic", maxFilesPerTrigger=FILES_PER_BATCH)
+    run_ingest(messages, f"{base}/out", f"{base}/offsets", scope=DAY_SCOPE, widths=()).awaitTermination()
+    return f"{base}/out"
+
+
+# The stream orders a day's messages by time and has no arrival number; event ids follow time.
+DAY_CLEAN = ctes.clean("source, date")
+
+
+@query(
+    final(DAY_CLEAN, "clean", ["timestamp", "date", "time", "source", "simulation", "hour", "day_of_week", "month", "season"],
+          [*SENSORS, "air_quality_index", "comfort_index", "quality_score"])
+)
+def run_ingest_clean(spark, sf_dir):
+    """The clean table a file stream leaves, filled per station and day."""
+    return rounded(read_ingested(spark, ingested(spark, sf_dir), "clean").drop("batch_id"))
+
+
+@query(
+    f"WITH {DAY_CLEAN} SELECT reason AS exclusion_reason, count(*) AS n FROM (SELECT reason FROM typed WHERE reason IS NOT NULL "
+    f"UNION ALL SELECT {ctes.RANGE_REASON} FROM imputed WHERE {ctes.RANGE_REASON} IS NOT NULL) GROUP BY 1"
+)
+def run_ingest_excluded(spark, sf_dir):
+    """A10: the quarantine the same stream leaves, counted by reason."""
+    rows = read_ingested(spark, ingested(spark, sf_dir), "excluded")
+    return rows.groupBy("exclusion_reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"WITH {DAY_CLEAN} SELECT (SELECT count(*) FROM events) AS messages, count(*) AS total_records, "
+    "count(*) FILTER (quality_score >= 0.7) AS valid_records, "
+    f"{ctes.VIOLATIONS} AS range_violations FROM clean"
+)
+def run_ingest_metrics(spark, sf_dir):
+    """The metrics rows of all micro-batches, summed."""
+    rows = read_ingested(spark, ingested(spark, sf_dir), "metrics")
+    return rows.agg(*[F.sum(c).alias(c) for c in ("messages", "total_records", "valid_records", "range_violations")])
+
+
+def live_output(spark, sf_dir) -> tuple[str, int]:
+    """Feed the hourly table as files to the live job; the folder and its last batch."""
+    base = folder(spark)
+    rows = fixtures.hourly(spark, sf_dir).select("ts", *POLLUTANTS)
+    rows.repartition(FILES, "ts").write.parquet(f"{base}/clean")
+    stream = tail_clean(spark, f"{base}/clean", rows.schema, FILES_PER_BATCH)
+    job = run_live_analytics(stream, f"{base}/out", f"{base}/offsets", "ts")
+    job.awaitTermination()
+    return f"{base}/out", job.lastProgress["batchId"]
+
+
+def latest(spark, sf_dir, table: str) -> DataFrame:
+    out, _ = live_output(spark, sf_dir)
+    rows = spark.read.parquet(f"{out}/{table}")
+    return rows.filter(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
+@query(
+    final(
+        explore_queries.windows_cte() + ", s AS ("
+        + explore_queries.per_channel(POLLUTANTS, explore_queries.WINDOW_STATS, "w", '"window"') + ")",
+        "s", ['"window"', "channel", '"count"'], ["mean", "std", "min", "max"], 'WHERE "count" > 0',
+    )
+)
+def run_live_stats(spark, sf_dir):
+    """After the stream has drained, its last window statistics."""
+    return rounded(latest(spark, sf_dir, "stats"))
+
+
+@query(
+    f"WITH {explore_queries.windows_cte()} SELECT count(*) AS total_records, {explore_queries.FILL} FROM hourly"
+)
+def run_live_summary(spark, sf_dir):
+    """G7 of the same stream."""
+    return latest(spark, sf_dir, "summary").select("total_records", "hourly", "daily", "weekly", "monthly")
