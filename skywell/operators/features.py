@@ -74,6 +74,11 @@ def chronological_split(
     return rows.withColumn("split", split).filter(clear).drop("_b", "_t0", "_i", "_v", "_e")
 
 
+def time_slice(df: DataFrame, ts: str, start, end) -> DataFrame:
+    """Rows between two times, both included."""
+    return df.filter(F.col(ts).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+
+
 def split_summary(df: DataFrame, ts: str, keys=()) -> DataFrame:
     """Rows and time span of each part."""
     return df.groupBy(*keys, "split").agg(F.count("*").alias("rows"), F.min(ts).alias("start"), F.max(ts).alias("end"))

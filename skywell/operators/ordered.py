@@ -17,6 +17,16 @@ HOUR, DAY = 3600, 86_400
 SERIES_WIDTHS = (30 * DAY, 1000)
 
 
+def fitted_widths(df: DataFrame, keys, ts: str, rows: int = 250_000, widest: int = 30 * DAY) -> tuple[int, int]:
+    """Bucket sizes for raw readings of unknown density: the busiest bucket holds about `rows`.
+
+    Counts per key and hour are combined map-side; only the largest of them returns.
+    """
+    hours = df.groupBy(*keys, F.floor(epoch_seconds(ts) / HOUR).alias("_hour")).agg(F.count("*").alias("n"))
+    busiest = hours.agg(F.max("n")).first()[0] or 1
+    return max(1, min(widest, rows * HOUR // busiest)), 1000
+
+
 @dataclass(frozen=True)
 class Before:
     """Sum of `expr` over the rows before this one (0 if none)."""

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skywell.operators.clean import flatten_messages
 from skywell.operators.metrics import alerts, batch_metrics
-from skywell.operators.ordered import SERIES_WIDTHS
+from skywell.operators.ordered import fitted_widths
 from skywell.plans.pipeline import process_batch
 from skywell.schema import FLAT_COLUMNS
 from skywell.sources.files import append_json, write_by_batch
@@ -16,15 +16,19 @@ TIE = "_tie"
 
 
 def ingest_batch(
-    messages: DataFrame, batch_id: int, out: str, scope=("source",), widths=SERIES_WIDTHS, as_of=None
+    messages: DataFrame, batch_id: int, out: str, scope=("source",), widths=None, as_of=None
 ) -> None:
     """One micro-batch. Every output is a folder of its batch id, so a repeat replaces it.
 
     The decoded batch is cached on the executors while its tables are written; metrics are
-    computed on the written rows.
+    computed on the written rows. Without `widths` the buckets that long series are cut into
+    are sized from the batch's own density, so that no source can fill one task.
     """
     spark, started = messages.sparkSession, time.time()
     flat = flatten_messages(messages).withColumn(TIE, F.xxhash64(*FLAT_COLUMNS)).persist()
+    if widths is None:
+        timed = flat.select(*scope, F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"))
+        widths = fitted_widths(timed.filter("timestamp IS NOT NULL"), scope, "timestamp")
     clean, excluded = process_batch(flat, list(scope), ["timestamp", TIE], widths)
     write_by_batch(clean.drop(TIE), f"{out}/clean", batch_id)
     write_by_batch(excluded.drop(TIE), f"{out}/excluded", batch_id)
@@ -49,7 +53,7 @@ def table_schema(df: DataFrame):
 
 
 def run_ingest(
-    messages: DataFrame, out: str, checkpoint: str, scope=("source",), widths=SERIES_WIDTHS,
+    messages: DataFrame, out: str, checkpoint: str, scope=("source",), widths=None,
     once: bool = True, interval: str = "10 seconds", as_of=None,
 ) -> StreamingQuery:
     """Run the batch body over a message stream; the checkpoint holds the source offsets.
