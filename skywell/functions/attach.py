@@ -4,6 +4,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from skywell.session import settle
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join where NULL keys match each other; `right`'s copies of the keys are dropped."""
@@ -14,23 +16,33 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+# A summary of up to this many groups is sent to every executor: a few hundred bytes a group.
+BROADCAST_GROUPS = 100_000
+
+
 def attach(df: DataFrame, summary: DataFrame, keys, into: str) -> DataFrame:
     """Add the summary row of each row's group as the struct column `into`.
 
     Without keys the summary is one aggregate row, read as a scalar subquery: the data is not
-    joined at all. With keys it is an unhinted equi-join on an aggregated side, so adaptive
-    execution broadcasts it only when its measured size allows, and otherwise splits hot keys.
+    joined at all. With keys the summary is written and counted first. Up to BROADCAST_GROUPS
+    groups are broadcast, so the data is not shuffled; more are joined by key, where adaptive
+    execution splits hot keys.
     """
     keys = list(keys)
     body = F.struct(*[F.col(c) for c in summary.columns if c not in keys])
     if not keys:
         return df.withColumn(into, summary.select(body).scalar())
-    return null_safe_join(df, summary.select(*keys, body.alias(into)), keys)
+    groups = settle(summary.select(*keys, body.alias(into)))
+    small = groups.count() <= BROADCAST_GROUPS
+    return null_safe_join(df, F.broadcast(groups) if small else groups, keys)
 
 
 def melt(df: DataFrame, names: list[str], make, keys=(), keep=None) -> DataFrame:
-    """One output row per name: `make(name)` gives the struct fields after `channel`."""
-    entries = F.array(*[F.struct(F.lit(c).alias("channel"), *make(c)) for c in names])
-    if keep is not None:
-        entries = F.filter(entries, keep)
-    return df.select(*keys, F.inline(entries))
+    """One output row per name: `make(name)` gives the fields after `channel`; `keep` filters them."""
+    fields = {c: F.struct(*make(c)) for c in names}
+    long = (
+        df.select(*keys, *[s.alias(f"_{c}") for c, s in fields.items()])
+        .unpivot(list(keys), [f"_{c}" for c in names], "_name", "_f")
+        .select(*keys, F.substr("_name", F.lit(2)).alias("channel"), "_f.*")
+    )
+    return long if keep is None else long.filter(keep)

@@ -39,7 +39,7 @@ def exact_quantiles(df: DataFrame, cols, probs, keys=(), accuracy: int = 20_000)
             *[F.col(f"_s.{c}.e")[i].alias(f"e{i}") for i in range(2 * k)],
         ],
         keys,
-        lambda e: e["v"].isNotNull(),
+        F.col("v").isNotNull(),
     )
     inside = [(F.col("v") >= F.col(f"e{i}")) & (F.col("v") <= F.col(f"e{k + i}")) for i in range(k)]
     kept = rows.groupBy(

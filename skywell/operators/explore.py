@@ -131,7 +131,12 @@ def correlation_matrix(df: DataFrame, cols, keys=()) -> DataFrame:
     keys = list(keys)
     pairs = list(combinations(cols, 2))
     wide = df.dropna(subset=list(cols)).groupBy(*keys).agg(
-        F.count("*").alias("n"), *[F.corr(x, y).alias(f"_{i}") for i, (x, y) in enumerate(pairs)]
+        F.count("*").alias("n"),
+        # A constant channel has no correlation; the built-in corr would fail the query on it.
+        *[
+            F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias(f"_{i}")
+            for i, (x, y) in enumerate(pairs)
+        ],
     )
     entries = F.array(
         *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"_{i}").alias("corr")) for i, (x, y) in enumerate(pairs)]

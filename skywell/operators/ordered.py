@@ -9,7 +9,6 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from skywell.functions.attach import null_safe_join
 from skywell.functions.scalars import epoch_seconds
 
 HOUR, DAY = 3600, 86_400
@@ -113,7 +112,7 @@ def _across(df: DataFrame, keys, order, wanted: dict, widths, weight: Column) ->
         return F.coalesce(own, F.col(f"_c_{n}"))
 
     return (
-        null_safe_join(inner, carried, [*keys, bucket])
+        inner.join(carried, [*keys, bucket], "left")
         .withColumns({n: merged(n, w) for n, w in wanted.items()})
         .withColumn(POSITION, F.col(POSITION) + F.col("_offset"))
         .drop(bucket, "_offset", *upper)
@@ -134,7 +133,11 @@ def running(df: DataFrame, keys, order, wanted: dict, widths=()) -> DataFrame:
         for n, w in wanted.items()
     }
     order = [order] if isinstance(order, str) else list(order)
-    return _across(df, list(keys), order, raw, tuple(widths), F.lit(1))
+    # One struct of the keys is never NULL, so bucket edges join by plain equality and the join
+    # finds both sides already partitioned.
+    own = ["_key"] if keys else []
+    rows = df.withColumn("_key", F.struct(*keys)) if keys else df
+    return _across(rows, own, order, raw, tuple(widths), F.lit(1)).select(*df.columns, POSITION, *wanted)
 
 
 def halo(df: DataFrame, ts: str, back: int, ahead: int, width: int) -> DataFrame:

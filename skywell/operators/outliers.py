@@ -24,7 +24,7 @@ def zscore_outliers(df: DataFrame, cols, ts: str, threshold: float = 3.0, ddof:
         return [F.col(c).cast("double").alias("value"), z.alias("score"), F.lit("z_score").alias("method")]
 
     rows = attach(df.select(*keys, *ids, ts, *cols), stats, keys, "_s")
-    return melt(rows, cols, fields, [*keys, *ids, ts], lambda e: e["score"] > threshold)
+    return melt(rows, cols, fields, [*keys, *ids, ts], F.col("score") > threshold)
 
 
 def iqr_outliers(df: DataFrame, cols, ts: str, keys=(), ids=(), reach: float = 1.5) -> DataFrame:
@@ -39,7 +39,7 @@ def iqr_outliers(df: DataFrame, cols, ts: str, keys=(), ids=(), reach: float = 1
         score = F.when(out, F.when(width > 0, (x - f["q1"]) / width).otherwise(0.0))
         return [x.cast("double").alias("value"), score.alias("score"), F.lit("iqr").alias("method")]
 
-    return melt(rows, cols, fields, [*keys, *ids, ts], lambda e: e["score"].isNotNull())
+    return melt(rows, cols, fields, [*keys, *ids, ts], F.col("score").isNotNull())
 
 
 def forest_outliers(df: DataFrame, cols, ts: str, row_id: str, contamination: float = 0.1, ids=()) -> DataFrame:

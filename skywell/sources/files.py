@@ -14,7 +14,7 @@ def read_sensor_csv(spark: SparkSession, path: str, required=tuple(REQUIRED_HEAD
     """
     df = spark.read.option("sep", ";").option("header", True).option("inferSchema", False).csv(path)
     require_columns(df, required)
-    return with_event_time(df.select(*[c for c in RAW_SCHEMA.names if c in df.columns]))
+    return with_event_time(df.select(*[F.col(f"`{c}`") for c in RAW_SCHEMA.names if c in df.columns]))
 
 
 def require_columns(df: DataFrame, names) -> DataFrame:
