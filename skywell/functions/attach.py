@@ -20,21 +20,26 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 BROADCAST_GROUPS = 100_000
 
 
-def attach(df: DataFrame, summary: DataFrame, keys, into: str) -> DataFrame:
+def written_groups(summary: DataFrame) -> DataFrame:
+    """A keyed summary, written and counted once, marked for broadcast when it is small."""
+    groups = settle(summary)
+    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+
+
+def attach(df: DataFrame, summary: DataFrame, keys, into: str, written: bool = False) -> DataFrame:
     """Add the summary row of each row's group as the struct column `into`.
 
     Without keys the summary is one aggregate row, read as a scalar subquery: the data is not
-    joined at all. With keys the summary is written and counted first. Up to BROADCAST_GROUPS
-    groups are broadcast, so the data is not shuffled; more are joined by key, where adaptive
-    execution splits hot keys.
+    joined at all. With keys the summary is written and counted first (`written`: it already
+    was). Up to BROADCAST_GROUPS groups are broadcast, so the data is not shuffled; more are
+    joined by key, where adaptive execution splits hot keys.
     """
     keys = list(keys)
     body = F.struct(*[F.col(c) for c in summary.columns if c not in keys])
     if not keys:
         return df.withColumn(into, summary.select(body).scalar())
-    groups = settle(summary.select(*keys, body.alias(into)))
-    small = groups.count() <= BROADCAST_GROUPS
-    return null_safe_join(df, F.broadcast(groups) if small else groups, keys)
+    groups = summary if written else written_groups(summary)
+    return null_safe_join(df, groups.select(*keys, body.alias(into)), keys)
 
 
 def melt(df: DataFrame, names: list[str], make, keys=(), keep=None) -> DataFrame:

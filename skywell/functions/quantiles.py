@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from skywell.functions.attach import attach, melt
+from skywell.functions.attach import attach, melt, written_groups
 from skywell.functions.scalars import count_where
 
 
@@ -30,28 +30,26 @@ def exact_quantiles(df: DataFrame, cols, probs, keys=(), accuracy: int = 20_000)
             for c in cols
         ]
     )
-    rows = melt(
-        attach(df.select(*keys, *cols), sketch, keys, "_s"),
-        cols,
-        lambda c: [
-            F.col(c).cast("double").alias("v"),
-            F.col(f"_s.{c}.n").alias("n"),
-            *[F.col(f"_s.{c}.e")[i].alias(f"e{i}") for i in range(2 * k)],
-        ],
-        keys,
-        F.col("v").isNotNull(),
+    brackets = written_groups(
+        melt(
+            sketch, cols,
+            lambda c: [F.col(c)["n"].alias("n"), *[F.col(c)["e"][i].alias(f"e{i}") for i in range(2 * k)]],
+            keys,
+        )
     )
-    inside = [(F.col("v") >= F.col(f"e{i}")) & (F.col("v") <= F.col(f"e{k + i}")) for i in range(k)]
-    kept = rows.groupBy(
-        *keys, "channel", F.when(reduce(lambda a, b: a | b, inside), F.col("v")).alias("bv")
-    ).agg(
+    own = [*keys, "channel"]
+    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(keys, list(cols), "channel", "v")
+    rows = attach(long.filter("v IS NOT NULL"), brackets, own, "_s", written=True)
+    low = lambda i: F.col("_s")[f"e{i}"]
+    high = lambda i: F.col("_s")[f"e{k + i}"]
+    inside = [F.col("v").between(low(i), high(i)) for i in range(k)]
+    kept = rows.groupBy(*own, F.when(reduce(lambda a, b: a | b, inside), F.col("v")).alias("bv")).agg(
         F.count("*").alias("cnt"),
-        F.max("n").alias("n"),
-        *[F.max(f"e{i}").alias(f"e{i}") for i in range(2 * k)],
-        *[count_where(F.col("v") < F.col(f"e{i}")).alias(f"b{i}") for i in range(k)],
-        *[F.max(F.when(F.col("v") < F.col(f"e{i}"), F.col("v"))).alias(f"p{i}") for i in range(k)],
-        *[F.min(F.when(F.col("v") > F.col(f"e{k + i}"), F.col("v"))).alias(f"s{i}") for i in range(k)],
+        *[count_where(F.col("v") < low(i)).alias(f"b{i}") for i in range(k)],
+        *[F.max(F.when(F.col("v") < low(i), F.col("v"))).alias(f"p{i}") for i in range(k)],
+        *[F.min(F.when(F.col("v") > high(i), F.col("v"))).alias(f"s{i}") for i in range(k)],
     )
+    kept = attach(kept, brackets, own, "_s", written=True).select("*", "_s.*").drop("_s")
     group = W.partitionBy(*keys, "channel")
     running = group.orderBy("bv").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked, found, out = kept, [], []

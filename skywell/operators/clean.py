@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from skywell.functions.attach import melt
 from skywell.functions.scalars import count_where, null_sentinel, outside, parse_locale_number
@@ -116,10 +116,8 @@ def classify_exclusions(df: DataFrame, ranges=CLEAN_RANGES) -> DataFrame:
 def exclusion_summary(classified: DataFrame) -> DataFrame:
     """Excluded rows per reason and their share of all rows."""
     counts = classified.groupBy("exclusion_reason").agg(F.count("*").alias("n"))
-    total = classified.agg(F.count("*")).scalar()
-    return counts.filter(F.col("exclusion_reason").isNotNull()).select(
-        "exclusion_reason", "n", (F.col("n") / total).alias("rate")
-    )
+    total = F.sum("n").over(W.partitionBy())  # over a dozen reasons, not over rows
+    return counts.withColumn("rate", F.col("n") / total).filter(F.col("exclusion_reason").isNotNull())
 
 
 def filter_last(df: DataFrame, ts: str, span: str | None) -> DataFrame:
