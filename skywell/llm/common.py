@@ -3,7 +3,9 @@
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skywell.session import checkpoint_dir
 
@@ -38,6 +40,38 @@ def held_out(key: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % modulus == remainder, F.lit(False))
 
 
+def fresh(name: str, taken) -> str:
+    """`name`, or a longer form of it that none of the columns `taken` has in any case."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
+def mapped(df: DataFrame, text: str, keep, out: str, function) -> DataFrame:
+    """`keep` columns of every row plus what `function(texts)` makes of a batch's texts.
+
+    `function` gets a list (null: None) and returns one list per column of the schema string
+    `out`. Names in `out` that `keep` has too are left to the caller to avoid. Rows stay where
+    they are: nothing is shuffled.
+    """
+    small_batches(df.sparkSession)
+    inner = fresh("text_", keep)
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(inner))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    made = T._parse_datatype_string(out)
+    kinds = [to_arrow_type(f.dataType) for f in made.fields]
+
+    def apply(batches):
+        for b in batches:
+            columns = function(b.column(b.num_columns - 1).to_pylist())
+            arrays = [b.column(i) for i in range(b.num_columns - 1)]
+            arrays += [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, [*b.schema.names[:-1], *made.names])
+
+    return rows.mapInArrow(apply, f"{fields}, {out}" if fields else out)
+
+
 def written(df: DataFrame) -> DataFrame:
     """`df`, written once as Parquet to the shared checkpoint folder and read back from there.
 
