@@ -7,12 +7,12 @@ then topped up with the end of pieces from the emptiest ones, so a group leaves
 sequence unfilled, which is written as sequences of powers of two that need no padding.
 """
 
-import re
+import os
+import unicodedata
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -21,53 +21,71 @@ from skywell.llm.common import fresh, query, small_batches, table
 CAPACITY = 2048
 END = 1
 GROUP = 2048  # documents of a group, about
-#: Fixed value: the vocabulary's own pattern for the parts of a word.
-PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")  # no character that changes its neighbours when normalised
-CACHED = 600_000  # words whose ids a worker remembers
+STOPS = frozenset(b".,;:!?")
+BLOCK = 1024  # words tokenized together
+CACHED = 400_000  # words whose ids a worker remembers
+
+
+def plain_case(raw: bytes) -> bytes:
+    """ASCII letters in lower case, as the vocabulary has them; not where a special token may stand."""
+    return raw if b"<|" in raw or b"|>" in raw else raw.lower()
 
 
 class WordIds:
     """Ids of texts, word by word: white space ends every token of this vocabulary."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.last = np.zeros(size, np.bool_)
+        self.last = np.zeros(size, np.bool_)  # tokens that end a part of a word
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.last[i] = token.endswith("</w>")
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.of: dict[bytes, bytes] = {}
+        self.again: set[bytes] = set()  # words met in more than one batch
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[bytes]) -> None:
-        """Remember new words. Plain ones are tokenized together and told apart by their last tokens."""
-        plain, other = [], []
+    def learn(self, words) -> None:
+        """Remember new words: letters with a stop after them by their parts, letters together, others one by one."""
+        stopped, alone = [], []
         for w in words:
+            (stopped if w[-1] in STOPS and len(w) > 1 else alone).append(w)
+        stems = [w[:-1] for w in stopped]
+        letters, other = [], []
+        for w in sorted({*alone, *stems}.difference(self.of)):
             s = w.decode("utf-8")
-            (plain if SIMPLE.fullmatch(s) and "<|" not in s else other).append((w, s))
-        blocks = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        for block, ids in zip(blocks, self.encode([" ".join(s for _, s in b) for b in blocks])):
-            ends = np.flatnonzero(self.last[ids]) + 1
-            parts = np.cumsum([len(PARTS.findall(s.lower())) for _, s in block])
-            if len(ends) != parts[-1]:
+            one = s.isalpha() and s.lower() == s and unicodedata.is_normalized("NFC", s)
+            (letters if one else other).append(w)
+        for i in range(0, len(letters), BLOCK):  # a run of letters is one part, so one last token each
+            block = letters[i : i + BLOCK]
+            (ids,) = self.encode([b" ".join(block).decode("utf-8")])
+            ends = (np.flatnonzero(self.last[ids]) + 1) * self.kind.itemsize
+            if len(ends) != len(block):
                 other += block
                 continue
-            raw, start = ids.tobytes(), 0
-            for (w, _), end in zip(block, (ends[parts - 1] * self.kind.itemsize).tolist()):
-                self.of[w] = raw[start:end]
-                start = end
-        for (w, _), ids in zip(other, self.encode([s for _, s in other])):
+            raw, stops = ids.tobytes(), ends.tolist()
+            self.of.update(zip(block, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+        marks = {w[-1:] for w in stopped}
+        joint = [w for w, s in zip(stopped, stems) if not s.decode("utf-8")[-1].isalpha() or b"<" in s]
+        other = [*other, *joint, *marks.difference(self.of)]
+        for w, ids in zip(other, self.encode([w.decode("utf-8") for w in other])):
             self.of[w] = ids.tobytes()
+        for w, s in zip(stopped, stems):
+            if w not in self.of:
+                self.of[w] = self.of[s] + self.of[w[-1:]]
 
     def __call__(self, texts: list[str | None], tail: bytes = b"") -> list[bytes]:
-        words = [(t or "").encode("utf-8").split() for t in texts]
+        words = [plain_case((t or "").encode("utf-8")).split() for t in texts]
+        met = set().union(*words)
         if len(self.of) > CACHED:
-            self.of.clear()
-        new = set().union(*words).difference(self.of)
-        self.learn(sorted(new))
+            self.of = {w: self.of[w] for w in self.again}
+            self.again.clear()
+        new = met.difference(self.of)
+        self.again.update(met.difference(new))
+        self.learn(new)
         return [b"".join(map(self.of.__getitem__, w)) + tail for w in words]
 
 
