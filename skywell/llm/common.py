@@ -106,3 +106,64 @@ def runs(ids: np.ndarray, values: np.ndarray) -> np.ndarray:
         return np.zeros(1, np.int64)
     new = np.flatnonzero((ids[1:] != ids[:-1]) | (values[1:] != values[:-1])) + 1
     return np.concatenate(([0], new, [len(ids)]))
+
+
+_BASE, _FOLD = np.uint64(0x9E3779B97F4A7C15 | 1), {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse, modulo 2^64, at least `n` of them."""
+    if len(_FOLD.get("up", ())) < n:
+        size = 1 << max(16, int(n - 1).bit_length())
+        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        for name, b in (("up", _BASE), ("down", inverse)):
+            out = np.full(size, b, np.uint64)
+            out[0] = 1
+            _FOLD[name] = np.cumprod(out, dtype=np.uint64)
+        _FOLD["bytes"] = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
+    return _FOLD["up"], _FOLD["down"]
+
+
+#: Bytes that separate words: blanks, control characters and ASCII punctuation; letters and digits stay.
+_SEPARATE = bytes(b if chr(b).isalnum() or b >= 0x80 else 0x20 for b in range(256))
+LONGEST = 1 << 20  # bytes hashed at a time
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash of each word of the lower-case text, in order; punctuation separates words.
+
+    One pass of array operations: prefix sums of a polynomial give every word's hash.
+    """
+    raw = (text or "").lower().encode("utf-8", "surrogatepass").translate(_SEPARATE)
+    out, at = [], 0
+    while at < len(raw):
+        end = min(at + LONGEST, len(raw))
+        if end < len(raw):  # a piece ends at a blank; a longer word is hashed whole
+            cut = raw.rfind(b" ", at, end)
+            end = cut if cut > at else (raw.find(b" ", end) % (len(raw) + 1))
+        piece = np.frombuffer(raw, np.uint8, end - at, at)
+        out.append(_piece_hashes(piece))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _piece_hashes(piece: np.ndarray) -> np.ndarray:
+    up, down = _powers(len(piece) + 1)
+    inside = np.zeros(len(piece) + 2, np.int8)
+    inside[1:-1] = piece != 0x20
+    edges = np.diff(inside)
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    sums = np.zeros(len(piece) + 1, np.uint64)
+    np.cumsum(_FOLD["bytes"][piece] * up[: len(piece)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts])
+
+
+def shingles(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of `size` words; of all words together where there are fewer, none of none."""
+    if not len(words):
+        return words
+    n = min(size, len(words))
+    out = np.zeros(len(words) - n + 1, np.uint64)
+    for i in range(n):
+        out = mixed(out * np.uint64(0xD6E8FEB86659FD93) + words[i : len(words) - n + 1 + i])
+    return out
