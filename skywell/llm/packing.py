@@ -8,85 +8,124 @@ sequence unfilled, which is written as sequences of powers of two that need no p
 """
 
 import os
-import unicodedata
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from skywell.llm.common import fresh, query, small_batches, table
 
 CAPACITY = 2048
 END = 1
 GROUP = 2048  # documents of a group, about
-STOPS = frozenset(b".,;:!?")
+STOPS = [".", ",", ";", ":", "!", "?"]
+MARKED = r"^(?P<stem>\p{L}+)(?P<mark>[-!\"#$%&()*+,./:;=?@\[\\\]^_`{}~]+)$"  # one part each
+LETTERS = r"^[a-zÀ-ÖØ-öø-ÿа-яё\x{4E00}-\x{9FFF}]+$"  # letters that normalising leaves or only makes lower case
 BLOCK = 1024  # words tokenized together
-CACHED = 400_000  # words whose ids a worker remembers
-
-
-def plain_case(raw: bytes) -> bytes:
-    """ASCII letters in lower case, as the vocabulary has them; not where a special token may stand."""
-    return raw if b"<|" in raw or b"|>" in raw else raw.lower()
+CACHED = 150_000  # words whose ids a worker remembers
 
 
 class WordIds:
-    """Ids of texts, word by word: white space ends every token of this vocabulary."""
+    """Ids of texts, word by word: white space ends every token of this vocabulary.
+
+    Words met are kept as one array, their ids end to end in another, so a batch of texts is looked up
+    and put together by array operations; only new words reach the tokenizer.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads here
         self.tokenizer = Tokenizer.from_file(path)
+        # for runs of plain lower-case letters, which the full rules leave as they are
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.last = np.zeros(size, np.bool_)  # tokens that end a part of a word
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.last[i] = token.endswith("</w>")
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.of: dict[bytes, bytes] = {}
-        self.again: set[bytes] = set()  # words met in more than one batch
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words) -> None:
-        """Remember new words: letters with a stop after them by their parts, letters together, others one by one."""
-        stopped, alone = [], []
-        for w in words:
-            (stopped if w[-1] in STOPS and len(w) > 1 else alone).append(w)
-        stems = [w[:-1] for w in stopped]
-        letters, other = [], []
-        for w in sorted({*alone, *stems}.difference(self.of)):
-            s = w.decode("utf-8")
-            one = s.isalpha() and s.lower() == s and unicodedata.is_normalized("NFC", s)
-            (letters if one else other).append(w)
-        for i in range(0, len(letters), BLOCK):  # a run of letters is one part, so one last token each
-            block = letters[i : i + BLOCK]
-            (ids,) = self.encode([b" ".join(block).decode("utf-8")])
-            ends = (np.flatnonzero(self.last[ids]) + 1) * self.kind.itemsize
-            if len(ends) != len(block):
-                other += block
-                continue
-            raw, stops = ids.tobytes(), ends.tolist()
-            self.of.update(zip(block, map(raw.__getitem__, map(slice, [0, *stops], stops))))
-        marks = {w[-1:] for w in stopped}
-        joint = [w for w, s in zip(stopped, stems) if not s.decode("utf-8")[-1].isalpha() or b"<" in s]
-        other = [*other, *joint, *marks.difference(self.of)]
-        for w, ids in zip(other, self.encode([w.decode("utf-8") for w in other])):
-            self.of[w] = ids.tobytes()
-        for w, s in zip(stopped, stems):
-            if w not in self.of:
-                self.of[w] = self.of[s] + self.of[w[-1:]]
-
-    def __call__(self, texts: list[str | None], tail: bytes = b"") -> list[bytes]:
-        words = [plain_case((t or "").encode("utf-8")).split() for t in texts]
-        met = set().union(*words)
-        if len(self.of) > CACHED:
-            self.of = {w: self.of[w] for w in self.again}
-            self.again.clear()
-        new = met.difference(self.of)
-        self.again.update(met.difference(new))
-        self.learn(new)
-        return [b"".join(map(self.of.__getitem__, w)) + tail for w in words]
+        self.words, self.ids, self.bounds = pa.array([], pa.string()), np.zeros(0, self.kind), np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.bool_)  # words met in more than one batch
+        self.add(pa.array(STOPS), *self.encoded(pa.array(STOPS)))
+
+    def add(self, words: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.words = pa.concat_arrays([self.words, words])
+        self.ids = np.concatenate((self.ids, ids))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(lengths)))
+        self.met = np.concatenate((self.met, np.zeros(len(words), np.bool_)))
+
+    def gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at the positions `at`, end to end, and how many each has."""
+        lengths = np.diff(self.bounds)[at]
+        stops = np.cumsum(lengths)
+        total = int(stops[-1]) if len(stops) else 0
+        return self.ids[np.repeat(self.bounds[at] - (stops - lengths), lengths) + np.arange(total)], lengths
+
+    def encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of words one by one."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
+        return np.array([i for ids in got for i in ids], self.kind), np.array([len(ids) for ids in got], np.int64)
+
+    def learn(self, words: pa.Array) -> np.ndarray:
+        """Add unknown words and give their positions: letters with a mark after them by their parts,
+        letters together, others one by one."""
+        marked = pc.match_substring_regex(words, MARKED)
+        ended = words.filter(marked)
+        pieces = pc.extract_regex(ended, MARKED)
+        parts = pa.concat_arrays([pc.struct_field(pieces, "stem"), pc.struct_field(pieces, "mark")])
+        known = pc.index_in(parts, self.words)
+        fresh_parts = pc.unique(pa.concat_arrays([words.filter(pc.invert(marked)), parts.filter(pc.is_null(known))]))
+        run = pc.match_substring_regex(fresh_parts, LETTERS)
+        letters, other = fresh_parts.filter(run), fresh_parts.filter(pc.invert(run))
+        blocks = pa.ListArray.from_arrays(pa.array([*range(0, len(letters), BLOCK), len(letters)], pa.int32()), pc.utf8_lower(letters))
+        texts = pc.binary_join(blocks, " ").to_pylist()
+        got = [np.array(e.ids, self.kind) for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, self.kind), *got])
+        lengths = np.diff(np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1)))  # a run of letters has one last token
+        size = len(self.words)
+        if len(lengths) == len(letters) and lengths.sum() == len(ids):
+            self.add(letters, ids, lengths)
+        else:
+            self.add(letters, *self.encoded(letters))
+        self.add(other, *self.encoded(other))
+        at = pc.coalesce(known, pc.add(pc.index_in(parts, self.words[size:]), size)).to_numpy()
+        ids, lengths = self.gathered(at.reshape(2, -1).T.ravel())
+        self.add(ended, ids, lengths[::2] + lengths[1::2])
+        return pc.index_in(words, self.words[size:]).to_numpy() + size
+
+    def __call__(self, texts: pa.Array, end: int | None = None) -> pa.Array:
+        """The ids of each text as little-endian bytes, `end` after them; a null text has no words."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        special = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring(texts, "|>"))
+        words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        coded = words.flatten().dictionary_encode()
+        unique, at = coded.dictionary, coded.indices.to_numpy()
+        if len(self.words) > CACHED:
+            self.met[: len(STOPS)] = True
+            ids, lengths = self.gathered(np.flatnonzero(self.met))
+            kept = self.words.filter(pa.array(self.met))
+            self.words, self.ids, self.bounds, self.met = kept[:0], ids[:0], self.bounds[:1], self.met[:0]
+            self.add(kept, ids, lengths)
+        place = pc.index_in(unique, self.words)
+        self.met[place.drop_null().to_numpy()] = True
+        new = unique.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).copy()
+        if len(new):
+            place[place < 0] = self.learn(new)
+        at = place[at]
+        bounds = words.offsets.to_numpy() - words.offsets[0].as_py()
+        ids, lengths = self.gathered(at)
+        stops = np.concatenate(([0], np.cumsum(lengths)))[bounds]
+        if end is not None:
+            ids = np.insert(ids, stops[1:], end)
+            stops = stops + np.arange(len(stops))
+        offsets = (stops * self.kind.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
 
 
 WORD_IDS: dict[str, WordIds] = {}
@@ -195,10 +234,8 @@ def pack(
 
     def tokenize(batches):
         ids = word_ids(path)
-        tail = np.array([end], ids.kind).tobytes()
         for b in batches:
-            made = ids(b.column(1).to_pylist(), tail)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(made, pa.binary())], ["k", "g", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), ids(b.column(1), end)], ["k", "g", "ids"])
 
     names = [key, *(fresh(n, [key]) for n in ("start", "length", "ids", "doc_tokens", "sequence_id", "offset"))]
 

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -23,7 +24,7 @@ ODD = [
 def test_word_ids_are_the_tokenizers():
     plain = Tokenizer.from_file(PATH)
     texts = ODD + [r[0] for r in database("/root/testdata/sf0.001").execute("select text from documents").fetchall()]
-    got = packing.WordIds(PATH)(texts)
+    got = packing.WordIds(PATH)(pa.array(texts)).to_pylist()
     for t, g in zip(texts, got):
         assert np.frombuffer(g, "<u2").tolist() == plain.encode(t or "", add_special_tokens=False).ids, t
 
