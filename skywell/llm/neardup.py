@@ -7,7 +7,7 @@ pair is verified by aligning both sequences within the band that a similarity of
 the length of the longest common chain over the shingles of both less that length.
 
 Equal word sequences are one text from the start. In a bucket all texts are compared with a leader,
-which differs from function to function, so work grows with the bucket, not its square. Where a
+so work grows with the bucket, not its square. Where a
 bucket still holds texts of several classes afterwards, it is split by every second function and
 a member of each class is compared with a leader again. Classes are the connected components.
 """
@@ -141,12 +141,13 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(both.mapInArrow(align, "a binary, b binary"))
 
 
-def led(buckets: DataFrame, keys: list[str], member: str = "tid") -> DataFrame:
-    """`a`, `b`: each bucket's members with its leader, chosen by a hash of member and bucket.
+def led(buckets: DataFrame, keys: list[str], seeds: tuple = (), member: str = "tid") -> DataFrame:
+    """`a`, `b`: each bucket's members with its leader, the first in the order of a hash of member and `seeds`.
 
-    Members without a bucket fellow, and pairs whose lengths rule them out, are left out.
+    With one order for all buckets, those of a large class mostly have the same few leaders, so its members are in
+    few pairs. Members without a bucket fellow, and pairs whose lengths rule them out, are left out.
     """
-    order = F.struct(F.xxhash64(member, *keys).alias("h"), F.col(member).alias("leader"), F.col("size").alias("leader_size"))
+    order = F.struct(F.xxhash64(member, *seeds).alias("h"), F.col(member).alias("leader"), F.col("size").alias("leader_size"))
     heads = buckets.groupBy(*keys).agg(F.min(order).alias("head"), F.count("*").alias("n")).filter("n > 1")
     near = F.least("size", "leader_size") >= SIMILARITY * F.greatest("size", "leader_size")
     return (
@@ -176,7 +177,7 @@ def classes(sketches: DataFrame) -> DataFrame:
     split = mixed_up.join(other, "tid").filter("band < band2")
     deeper = ["band", "sig", "band2", "sig2"]
     member = split.groupBy(*deeper, "label").agg(F.min(F.struct(F.xxhash64("tid", "band2").alias("h"), "tid", "size")).alias("x"))
-    more = verified(led(member.select(*deeper, "x.tid", "x.size"), deeper), texts)
+    more = verified(led(member.select(*deeper, "x.tid", "x.size"), deeper, ("band", "band2")), texts)
     return components(written(links.union(more))).withColumnRenamed("node", "tid")
 
 
