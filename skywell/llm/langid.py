@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from skywell.llm.common import held_out, query, sampled, small_batches, table, written
+from skywell.llm.common import fresh, held_out, mapped, query, sampled, small_batches, table, written
 
 UNDETERMINED = "und"
 LETTERS = 63  # characters told apart; all others share code 0
@@ -172,31 +172,21 @@ def identify_languages(df: DataFrame, model: LanguageModel, text: str = "text",
     """Add `lang_pred` and `score` to the `keep` columns, one row per input row.
 
     Null texts and texts without a letter are `und` with score 0, as is everything under a model
-    without languages; repeated rows repeat; extra columns are not read.
+    without languages; repeated rows repeat; other columns are not read. Where `keep` has one of the
+    new names, the new column's gets a `_` before it.
     """
-    small_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)  # n-grams x languages: a fixed size per language
-    rows = df.select(*keep, F.col(text).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
 
-    def predict(batches):
+    def predict(texts):
         m = sent.value
         grams = Grams(m.letters)
-        for b in batches:
-            texts = b.column("_text").to_pylist()
-            known = [bool(m.languages) and t is not None and any(map(str.isalpha, t)) for t in texts]
-            p = m.scores([grams(t) for t, k in zip(texts, known) if k])
-            best = iter(p.argmax(axis=1)) if len(p) else iter(())
-            top = iter(p.max(axis=1)) if len(p) else iter(())
-            names = [m.languages[next(best)] if k else UNDETERMINED for k in known]
-            scores = [float(next(top)) if k else 0.0 for k in known]
-            arrays = [b.column(c) for c in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [*arrays, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*b.schema.names[:-1], "lang_pred", "score"],
-            )
+        known = [bool(m.languages) and t is not None and any(map(str.isalpha, t)) for t in texts]
+        p = m.scores([grams(t) for t, k in zip(texts, known) if k])
+        best = iter(zip(p.argmax(axis=1), p.max(axis=1)) if len(p) else ())
+        found = [next(best) if k else None for k in known]
+        return [UNDETERMINED if f is None else m.languages[f[0]] for f in found], [0.0 if f is None else float(f[1]) for f in found]
 
-    return rows.mapInArrow(predict, f"{schema}, lang_pred string, score double")
+    return mapped(df, text, keep, f"`{fresh('lang_pred', keep)}` string, `{fresh('score', keep)}` double", predict)
 
 
 HELD = (5, 0)
