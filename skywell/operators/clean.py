@@ -8,7 +8,7 @@ from skywell.functions.attach import melt
 from skywell.functions.scalars import count_where, null_sentinel, outside, parse_locale_number
 from skywell.operators.grid import between, fill_mean, neighbours
 from skywell.operators.ordered import POSITION, LastBefore, running
-from skywell.schema import AVERAGED, CARRIED, CLEAN_RANGES, INTERPOLATED, SENSORS, SENTINEL
+from skywell.schema import AVERAGED, CARRIED, CLEAN_RANGES, INTERPOLATED, SENSORS, SENTINEL, VIEW_RANGES
 
 
 def flatten_messages(df: DataFrame) -> DataFrame:
@@ -131,6 +131,12 @@ def filter_last(df: DataFrame, ts: str, span: str | None) -> DataFrame:
     return present.filter(F.col(ts) >= df.agg(F.max(ts) - F.expr(f"INTERVAL {span}")).scalar())
 
 
+def filter_view(df: DataFrame, ts: str, label: str) -> DataFrame:
+    """B10 by the name of an exploratory view; an unknown name is refused."""
+    days = VIEW_RANGES[label]
+    return filter_last(df, ts, None if days is None else f"{days} DAYS")
+
+
 def align_columns(df: DataFrame, names: list[str], dtype: str = "double") -> DataFrame:
     """Exactly these columns, in this order; absent ones are NULL."""
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(dtype).alias(c) for c in names])

@@ -73,6 +73,15 @@ def paired_ttest(df: DataFrame, y: str, model: str, baseline: str, by=()) -> Dat
     )
 
 
+def model_metrics(df: DataFrame, y: str, model: str, baseline: str, by=()) -> DataFrame:
+    """The metrics document of a model: I15 of it and of its baseline, I16 between them, I23."""
+    by = list(by)
+    errors = forecast_metrics(df, y, model, by)
+    base = forecast_metrics(df, y, baseline, by).select(*by, F.col("mae").alias("mae_baseline"), F.col("rmse").alias("rmse_baseline"))
+    test = paired_ttest(df, y, model, baseline, by).drop("n_samples")
+    return improvement(errors.join(base, by).join(test, by))
+
+
 def best_run(runs: DataFrame) -> DataFrame:
     """The finished run with the smallest positive test RMSE; ties by run id."""
     usable = runs.filter((F.col("status") == "FINISHED") & (F.col("metrics")["test_rmse"] > 0))

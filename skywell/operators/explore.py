@@ -100,6 +100,19 @@ def box_stats(df: DataFrame, cols, keys=()) -> DataFrame:
     return wide.select(*keys, F.inline(entries)).filter("count > 0")
 
 
+def box_outliers(df: DataFrame, cols, keys=(), ids=()) -> DataFrame:
+    """H2: the values that a box view draws as points, those outside the fences."""
+    keys = list(keys)
+    rows = attach(df.select(*keys, *ids, *cols), quartile_fences(df, cols, keys), keys, "_f")
+
+    def fields(c):
+        f = F.col(f"_f.{c}")
+        beyond = (F.col(c) < f["low"]) | (F.col(c) > f["high"])
+        return [F.when(beyond, F.col(c)).cast("double").alias("value")]
+
+    return melt(rows, cols, fields, [*keys, *ids], F.col("value").isNotNull())
+
+
 # Weekday labels, Monday first.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 

@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from skywell.functions.attach import attach
 from skywell.operators.features import build_features, series_bounds
-from skywell.schema import HORIZON
+from skywell.operators.ordered import HOUR
+from skywell.schema import HORIZON, LAGS, TRAILING_ROWS
 
 
 def serving_rows(dense: DataFrame, ts: str, keys=(), horizon: int = HORIZON, **features) -> DataFrame:
@@ -15,7 +16,9 @@ def serving_rows(dense: DataFrame, ts: str, keys=(), horizon: int = HORIZON, **f
     """
     keys = list(keys)
     ends = series_bounds(dense, ts, keys).drop("t0")
-    reach = attach(dense, ends, keys, "_e").filter(F.col(ts) > F.col("_e.t1") - F.expr("INTERVAL 96 HOURS")).drop("_e")
+    seconds = (max(*features.get("lags", LAGS), TRAILING_ROWS) + horizon) * features.get("step", HOUR)
+    near = F.col(ts) >= F.timestamp_add("SECOND", F.lit(-seconds), F.col("_e.t1"))
+    reach = attach(dense, ends, keys, "_e").filter(near).drop("_e")
     rows = build_features(reach, ts, keys, horizon=horizon, complete=False, **features).drop("y", "current")
     names = [c for c in rows.columns if c not in [*keys, ts]]
     anchors = attach(rows, ends, keys, "_e").withColumn(

@@ -166,7 +166,7 @@ def tails(rows: DataFrame, ts: str, keys) -> DataFrame:
 
 
 def forecast(models: DataFrame, ends: DataFrame, keys, ts: str, extra=(), interval: bool = True) -> DataFrame:
-    """Path and 95 % interval, stamped from the model's own end.
+    """Path and 95 % interval, stamped from the model's own end; NULLs where a series is too short.
 
     `models` has a `steps` column; `extra` columns are carried through. Paths leave in chunks.
     """
@@ -175,7 +175,7 @@ def forecast(models: DataFrame, ends: DataFrame, keys, ts: str, extra=(), interv
         *keys, *extra, "steps", "d", "ar_lags", "ar", "ma_lags", "ma", "sigma",
         F.col("_t.model_end").alias("model_end"), F.col("_t.tail.y").alias("ys"),
         F.when(F.col("d") == 0, F.col("_t.tail.e0")).otherwise(F.col("_t.tail.e1")).alias("shocks"),
-    ).filter(F.size("ys") > SEASON + 1 + max(MODEL_LAGS))
+    )
     stamp = T.StructType([T.StructField(ts, T.TimestampNTZType())])
     schema = T.StructType(
         [held.schema[c] for c in [*keys, *extra]] + list(stamp) + list(T.StructType.fromDDL("mean double, lo double, hi double"))
@@ -184,6 +184,11 @@ def forecast(models: DataFrame, ends: DataFrame, keys, ts: str, extra=(), interv
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for r in frame.to_dict("records"):
+                if len(r["ys"]) <= SEASON + 1 + max(MODEL_LAGS):  # too short to start from: its hours come without values
+                    rows = [[r[c] for c in [*keys, *extra]] + [r["model_end"] + pd.Timedelta(hours=h), None, None, None] for h in range(1, int(r["steps"]) + 1)]
+                    if rows:
+                        yield pd.DataFrame(rows, columns=schema.names).astype({c: "float64" for c in ("mean", "lo", "hi")})
+                    continue
                 path = forecast_path(r["ys"], r["shocks"], r, r["steps"])
                 echo = forecast_path([0.0] * TAIL, [0.0] * TAIL, r, r["steps"], impulse=True)
                 variance, chunk = 0.0, []

@@ -150,6 +150,18 @@ def box_volume(spark, sf_dir):
     return rounded(explore.box_stats(lineitem(spark, sf_dir).select(*MEASURES), MEASURES), VOLUME_DIGITS)
 
 
+@query(
+    final(
+        f"{fences(['value'], 'events')}, v AS ({ctes.long(['value'], 'events', 'event_id')}), "
+        f"o AS (SELECT event_id, channel, value FROM v JOIN q USING (channel) WHERE NOT ({IN_FENCE}))",
+        "o", ["event_id", "channel"], ["value"],
+    )
+)
+def box_outliers(spark, sf_dir):
+    """H2: the points beyond the whiskers, over every event."""
+    return rounded(explore.box_outliers(fixtures.events(spark, sf_dir), ["value"], ids=["event_id"]))
+
+
 def pairs(cols):
     return [(x, y) for i, x in enumerate(cols) for y in cols[i + 1:]]
 
@@ -228,6 +240,13 @@ def zscore_volume(spark, sf_dir):
     return rounded(outliers.zscore_outliers(line_rows(spark, sf_dir), ["l_extendedprice"], "ts", 2.5, ids=LINE_IDS), 8)
 
 
+@query(z_sql("", ["value"], "events", "event_id, ts", ids=["event_id"]))
+def zscore_events(spark, sf_dir):
+    """H10 over every event: values that are really beyond three deviations."""
+    rows = fixtures.events(spark, sf_dir).select("event_id", "ts", "value")
+    return rounded(outliers.zscore_outliers(rows, ["value"], "ts", ids=["event_id"]))
+
+
 def iqr_sql(prefix, cols, source, keep, ids=(), digits=10) -> str:
     return final(
         f"{prefix}{fences(cols, source)}, v AS ({ctes.long(cols, source, keep)}), o AS (SELECT v.*, "
@@ -327,6 +346,18 @@ def recent_48h(spark, sf_dir):
     return rounded(clean.filter_last(hourly(spark, sf_dir), "ts", "48 HOURS").select("ts", "nox_gt"))
 
 
+@query("SELECT event_id, ts, value FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAYS")
+def view_last_7_days(spark, sf_dir):
+    """B10 by the name of a view."""
+    return clean.filter_view(fixtures.events(spark, sf_dir).select("event_id", "ts", "value"), "ts", "Last 7 days")
+
+
+@query("SELECT event_id, ts, value FROM events WHERE ts IS NOT NULL")
+def view_all_data(spark, sf_dir):
+    """B10 without a bound."""
+    return clean.filter_view(fixtures.events(spark, sf_dir).select("event_id", "ts", "value"), "ts", "All data")
+
+
 @query("SELECT event_id, ts, value FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 1 DAY")
 def filter_last_raw(spark, sf_dir):
     """B10 on the raw table: the bound reaches the scan."""
@@ -400,16 +431,21 @@ def zscore_anomalies(spark, sf_dir):
     return rounded(live.zscore_anomalies(live_windows(spark, sf_dir), "ts", 2.0))
 
 
+SHORTEST_OUTLIERS = z_sql(windows_cte() + ", h AS (SELECT * FROM w WHERE \"window\" = 'hourly'), ", POLLUTANTS, "h", "ts", "stddev_samp", 3)
+
 LIVE_PARTS = " UNION ALL ".join(
     f"SELECT '{p}' AS pattern, {PARTS[p]} AS part, '{c}' AS channel, avg({c}) AS mean, count({c}) AS n FROM d GROUP BY {PARTS[p]}"
     for p in ("hour", "weekday") for c in POLLUTANTS
 )
 
 
-@query(
-    final(f"{windows_cte()}, d AS (SELECT * FROM w WHERE \"window\" = 'daily'), p AS ({LIVE_PARTS})", "p",
-          ["pattern", "part", "channel", "n"], ["mean"])
+LIVE_PATTERNS = final(
+    f"{windows_cte()}, d AS (SELECT * FROM w WHERE \"window\" = 'daily'), p AS ({LIVE_PARTS})", "p",
+    ["pattern", "part", "channel", "n"], ["mean"],
 )
+
+
+@query(LIVE_PATTERNS)
 def live_patterns(spark, sf_dir):
     """G5 on the 168-row window."""
     return rounded(live.live_patterns(live_windows(spark, sf_dir), "ts"))

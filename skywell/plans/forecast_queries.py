@@ -14,8 +14,6 @@ SERIES = ["nox_gt", "co_gt", "no2_gt"]
 STATION = ["station"]
 NAMES = features.feature_names()
 WIDTHS = (5 * 86_400, 3)  # small buckets, so that even this month of data crosses their edges
-# Candidates small enough to fit while checking; the full grid is the library's default.
-BOOSTED_TRIAL = ((10, 0.1, 3), (10, 0.05, 4))
 
 
 def by_station(spark, sf_dir) -> DataFrame:
@@ -197,6 +195,41 @@ def paired_ttest(spark, sf_dir):
     return rounded(evaluate.paired_ttest(judged(spark, sf_dir), "y", "current", "baseline", ["station", "split"]), 8)
 
 
+def one_lag(spark, sf_dir) -> DataFrame:
+    """Validation and test rows with the forecast of a line through the last value, and the constant baseline."""
+    rows = judged(spark, sf_dir)
+    fitted = models.fit_linear(rows, ["nox_lag1"], "y", STATION, [("linear", None)])
+    return models.predict_linear(rows, fitted, ["nox_lag1"], STATION).filter("split <> 'train'")
+
+
+@query(
+    final(
+        f"{JUDGED}, line AS (SELECT station, regr_slope(y, nox_lag1) AS b, regr_intercept(y, nox_lag1) AS a FROM features "
+        "WHERE split <> 'test' GROUP BY 1), p AS (SELECT j.*, a + b * nox_lag1 AS prediction FROM judged j JOIN line l ON j.station = l.station "
+        f"WHERE split <> 'train'), e AS (SELECT station, split, {errors_sql('prediction')}, avg(abs(y - baseline)) AS mae_baseline, "
+        "sqrt(avg((y - baseline) * (y - baseline))) AS rmse_baseline, "
+        "avg(abs(y - baseline) - abs(y - prediction)) / (stddev_samp(abs(y - baseline) - abs(y - prediction)) / sqrt(count(*))) AS t_statistic "
+        "FROM p GROUP BY 1, 2)",
+        "e", ["station", "split", "n"],
+        ["mae", "rmse", "smape", "r2", "mae_baseline", "rmse_baseline", "t_statistic", "mae_baseline - mae AS mae_gain", "rmse_baseline - rmse AS rmse_gain"],
+        digits=6,
+    )
+)
+def model_metrics(spark, sf_dir):
+    """I15, I16, I23 of a fitted model on validation and test: errors, baseline errors, significance and gain."""
+    document = evaluate.model_metrics(one_lag(spark, sf_dir), "y", "prediction", "baseline", ["station", "split"])
+    return rounded(document.drop("p_value", "significant"), 6)
+
+
+@query()
+def model_metrics_selected(spark, sf_dir):
+    """The same document, p-values included, of each station's selected model on all features."""
+    rows = judged(spark, sf_dir)
+    fitted = settle(models.fit_linear(rows, NAMES, "y", STATION))
+    predicted = models.predict_linear(rows, fitted, NAMES, STATION).filter("split <> 'train'")
+    return rounded(evaluate.model_metrics(predicted, "y", "prediction", "baseline", ["station", "split"]), 6)
+
+
 def gains(spark, sf_dir) -> DataFrame:
     rows = judged(spark, sf_dir)
     base = evaluate.forecast_metrics(rows, "y", "baseline", ["station", "split"]).select(
@@ -320,7 +353,7 @@ def select_linear_volume(spark, sf_dir):
 def fit_boosted(spark, sf_dir):
     """Boosted trees on all stations, scored on the test part."""
     rows = settle(feature_table(spark, sf_dir)[0])
-    best = models.select_boosted(rows, NAMES, "y", BOOSTED_TRIAL)
+    best = models.select_boosted(rows, NAMES, "y")
     tested = best.predict(rows.filter("split = 'test'"))
     return rounded(evaluate.forecast_metrics(tested, "y", "prediction", STATION), 6)
 

@@ -12,10 +12,17 @@ from skywell.sources.messages import keyed, read_messages
 from skywell.streaming.ingest import read_ingested, run_ingest
 from skywell.streaming.live import run_live_analytics, tail_clean
 
-FILES, FILES_PER_BATCH = 6, 2
+ROWS_PER_FILE = 1_000_000
+LEAST_FILES, BATCHES = 6, 3
 DAY_SCOPE = ["source", "date"]
 
 
+def files_of(rows: DataFrame) -> tuple[int, int]:
+    """How many files a table is published in, and how many of them make a micro-batch."""
+    files = max(LEAST_FILES, -(-rows.count() // ROWS_PER_FILE))
+    return files, -(-files // BATCHES)
+
+
 def folder(spark) -> str:
     return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4()}"
 
@@ -24,8 +31,9 @@ def ingested(spark, sf_dir) -> str:
     """Publish every message as files of whole days, ingest them in several micro-batches."""
     base = folder(spark)
     raw = fixtures.raw_messages(spark, sf_dir)
-    keyed(raw, keep=["date"]).repartition(FILES, "date").drop("date").write.json(f"{base}/topic")
-    messages = read_messages(spark, "json", f"{base}/topic", maxFilesPerTrigger=FILES_PER_BATCH)
+    files, per_batch = files_of(raw)
+    keyed(raw, keep=["date"]).repartition(files, "date").drop("date").write.json(f"{base}/topic")
+    messages = read_messages(spark, "json", f"{base}/topic", maxFilesPerTrigger=per_batch)
     run_ingest(messages, f"{base}/out", f"{base}/offsets", scope=DAY_SCOPE, widths=()).awaitTermination()
     return f"{base}/out"
 
@@ -68,8 +76,9 @@ def live_output(spark, sf_dir) -> tuple[str, int]:
     """Feed the hourly table as files to the live job; the folder and its last batch."""
     base = folder(spark)
     rows = fixtures.hourly(spark, sf_dir).select("ts", *POLLUTANTS)
-    rows.repartition(FILES, "ts").write.parquet(f"{base}/clean")
-    stream = tail_clean(spark, f"{base}/clean", rows.schema, FILES_PER_BATCH)
+    files, per_batch = files_of(rows)
+    rows.repartition(files, "ts").write.parquet(f"{base}/clean")
+    stream = tail_clean(spark, f"{base}/clean", rows.schema, per_batch)
     job = run_live_analytics(stream, f"{base}/out", f"{base}/offsets", "ts")
     job.awaitTermination()
     return f"{base}/out", job.lastProgress["batchId"]
@@ -93,9 +102,29 @@ def run_live_stats(spark, sf_dir):
     return rounded(latest(spark, sf_dir, "stats"))
 
 
+@query(explore_queries.corr_sql(explore_queries.windows_cte() + ", ", POLLUTANTS, "w", '"window"'))
+def run_live_correlations(spark, sf_dir):
+    """G3 of the same stream."""
+    return rounded(latest(spark, sf_dir, "correlations"))
+
+
+@query(explore_queries.SHORTEST_OUTLIERS)
+def run_live_anomalies(spark, sf_dir):
+    """G4 of the same stream, by its own threshold."""
+    return rounded(latest(spark, sf_dir, "anomalies"))
+
+
+@query(explore_queries.LIVE_PATTERNS)
+def run_live_patterns(spark, sf_dir):
+    """G5 of the same stream."""
+    return rounded(latest(spark, sf_dir, "patterns"))
+
+
 @query(
-    f"WITH {explore_queries.windows_cte()} SELECT count(*) AS total_records, {explore_queries.FILL} FROM hourly"
+    explore_queries.SHORTEST_OUTLIERS.split(" SELECT ts, channel, 'z_score'")[0]
+    + f" SELECT count(*) AS total_records, max(ts) AS last_update, {explore_queries.FILL}, "
+    "(SELECT count(*) FROM z WHERE score > 3) AS recent_anomalies FROM hourly"
 )
 def run_live_summary(spark, sf_dir):
-    """G7 of the same stream."""
-    return latest(spark, sf_dir, "summary").select("total_records", "hourly", "daily", "weekly", "monthly")
+    """G7 of the same stream, all columns."""
+    return rounded(latest(spark, sf_dir, "summary"))

@@ -26,16 +26,17 @@ def ingest_batch(
     """
     spark, started = messages.sparkSession, time.time()
     flat = flatten_messages(messages).withColumn(TIE, F.xxhash64(*FLAT_COLUMNS)).persist()
-    if widths is None:
-        timed = flat.select(*scope, F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"))
-        widths = fitted_widths(timed.filter("timestamp IS NOT NULL"), scope, "timestamp")
-    clean, excluded = process_batch(flat, list(scope), ["timestamp", TIE], widths)
-    write_by_batch(clean.drop(TIE), f"{out}/clean", batch_id)
-    write_by_batch(excluded.drop(TIE), f"{out}/excluded", batch_id)
-    flat.unpersist()
-    own = F.col("batch_id") == F.lit(batch_id).cast("bigint")
-    kept = spark.read.schema(table_schema(clean.drop(TIE))).parquet(f"{out}/clean").filter(own)
-    refused = spark.read.schema(table_schema(excluded.drop(TIE))).parquet(f"{out}/excluded").filter(own)
+    try:
+        if widths is None:
+            timed = flat.select(*scope, F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"))
+            widths = fitted_widths(timed.filter("timestamp IS NOT NULL"), scope, "timestamp")
+        clean, excluded = process_batch(flat, list(scope), ["timestamp", TIE], widths)
+        write_by_batch(clean.drop(TIE), f"{out}/clean", batch_id)
+        write_by_batch(excluded.drop(TIE), f"{out}/excluded", batch_id)
+    finally:
+        flat.unpersist()
+    kept = written_batch(spark, f"{out}/clean", table_schema(clean.drop(TIE)), batch_id)
+    refused = written_batch(spark, f"{out}/excluded", table_schema(excluded.drop(TIE)), batch_id)
     rows = kept.select("batch_id").unionByName(refused.select("batch_id"))
     stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
     totals = rows.groupBy("batch_id").agg(
@@ -43,10 +44,15 @@ def ingest_batch(
     )
     metrics = batch_metrics(kept, "batch_id", totals)
     write_by_batch(metrics, f"{out}/metrics", batch_id)
-    written = spark.read.schema(table_schema(metrics)).parquet(f"{out}/metrics").filter(own)
+    written = written_batch(spark, f"{out}/metrics", table_schema(metrics), batch_id)
     write_by_batch(alerts(written), f"{out}/alerts", batch_id)
 
 
+def written_batch(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame:
+    """One batch's rows of a table; the folders of other batches are not listed."""
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id={batch_id}")
+
+
 def table_schema(df: DataFrame):
     """The schema of a table written by batch: the batch id is the partition column."""
     return df.drop("batch_id").schema.add("batch_id", "long")
@@ -67,7 +73,7 @@ def run_ingest(
             ingest_batch(batch, batch_id, out, scope, widths, as_of)
         except Exception as failure:
             spark = batch.sparkSession
-            row = [("BATCH_PROCESSING_ERROR", str(failure)[:2000], batch_id)]
+            row = [("BATCH_PROCESSING_ERROR", str(failure), batch_id)]
             append_json(spark.createDataFrame(row, "type string, message string, batch_id bigint"), f"{out}/errors")
             raise
 
