@@ -4,17 +4,19 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from skywell.functions.attach import attach, melt, written_groups
+from skywell.functions.attach import attach, melt, null_safe_join, written_groups
 from skywell.functions.scalars import count_where
 
+CELLS = 1024  # equal widths that a bracket is cut into
+
 
 def exact_quantiles(df: DataFrame, cols, probs, keys=(), accuracy: int = 20_000) -> DataFrame:
     """Linearly interpolated quantiles: rows of `(keys, channel, n, q)`, q an array by `probs`.
 
     Pass 1 sketches a bracket of rank width 8/accuracy around each probability (one small row
     per group). Pass 2 counts what lies below each bracket and keeps only the distinct values
-    inside one, so every other row collapses map-side. The last step ranks the bracket values:
-    about `8 n / accuracy` rows per probability at most, fewer when values repeat. A hot value
+    inside one, so every other row collapses map-side. Of the bracket values, about `8 n / accuracy`
+    per probability at most and fewer when values repeat, one cell in CELLS is ranked. A hot value
     is one row. The values next to each bracket cover ranks just outside it; if a sketch ever
     missed by more, the query fails instead of guessing.
     """
@@ -50,28 +52,58 @@ def exact_quantiles(df: DataFrame, cols, probs, keys=(), accuracy: int = 20_000)
         *[F.min(F.when(F.col("v") > high(i), F.col("v"))).alias(f"s{i}") for i in range(k)],
     )
     kept = attach(kept, brackets, own, "_s", written=True).select("*", "_s.*").drop("_s")
-    group = W.partitionBy(*keys, "channel")
-    running = group.orderBy("bv").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked, found, out = kept, [], []
-    for i, p in enumerate(probs):
+    return _ranked(kept, own, probs).select(*keys, "channel", "n", "q")
+
+
+def _ranked(kept: DataFrame, own: list[str], probs: list[float]) -> DataFrame:
+    """The quantiles of each group from its bracket rows.
+
+    Each bracket is cut into CELLS equal widths. Sums per cell, at most CELLS + 1 rows per group and
+    probability, tell which cells hold the two target ranks; only the rows of those are ranked.
+    """
+    k = len(probs)
+
+    def bracket(i):
         within = (F.col("bv") >= F.col(f"e{i}")) & (F.col("bv") <= F.col(f"e{k + i}"))
-        below, held = F.sum(f"b{i}").over(group), F.when(within, F.col("cnt")).otherwise(0)
-        ranked = ranked.withColumns({f"w{i}": below, f"upto{i}": below + F.sum(held).over(running)})
-        want = (F.col("n") - 1) * F.lit(p)
-        found += [F.max(f"w{i}").alias(f"w{i}"), F.max(f"upto{i}").alias(f"upto{i}"), F.max(f"p{i}").alias(f"p{i}"), F.min(f"s{i}").alias(f"s{i}")]
-        value = {}
-        for side, rank in (("l", F.floor(want)), ("h", F.ceil(want))):
-            hit = within & (rank < F.col(f"upto{i}")) & (rank >= F.col(f"upto{i}") - F.col("cnt"))
-            found.append(F.max(F.when(hit, F.col("bv"))).alias(f"{side}{i}"))
-            value[side] = (
-                F.when(F.col(f"{side}{i}").isNotNull(), F.col(f"{side}{i}"))
-                .when(rank == F.col(f"w{i}") - 1, F.col(f"p{i}"))
-                .when(rank == F.col(f"upto{i}"), F.col(f"s{i}"))
-                .otherwise(F.raise_error(F.lit("quantile bracket missed")).cast("double"))
-            )
-        out.append(value["l"] + (value["h"] - value["l"]) * (want - F.floor(want)))
-    return (
-        ranked.groupBy(*keys, "channel")
-        .agg(F.max("n").alias("n"), *found)
-        .select(*keys, "channel", "n", F.array(*out).alias("q"))
+        return F.struct(
+            F.lit(i).alias("i"), F.lit(probs[i]).alias("p"), F.col(f"b{i}").alias("b"), F.col(f"p{i}").alias("before"),
+            F.col(f"s{i}").alias("after"), F.when(within, F.col("bv")).alias("x"), F.when(within, F.col("cnt")).otherwise(0).alias("c"),
+            F.col(f"e{i}").alias("low"), (F.col(f"e{k + i}") - F.col(f"e{i}")).alias("width"),
+        )
+
+    parts = kept.select(*own, "n", F.inline(F.array(*[bracket(i) for i in range(k)])))
+    spread = (F.col("width") > 0) & (F.col("width") < float("inf"))
+    place = F.least(F.floor((F.col("x") - F.col("low")) / F.col("width") * CELLS), F.lit(CELLS - 1).cast("bigint"))
+    parts = parts.withColumn("cell", F.when(F.col("x").isNull(), F.lit(-1)).when(spread, place).otherwise(0))
+    one, cell = [*own, "i"], [*own, "i", "cell"]
+    whole = W.partitionBy(*one)
+    cells = parts.groupBy(*cell).agg(
+        *[F.max(c).alias(c) for c in ("n", "p", "before")], F.min("after").alias("after"), *[F.sum(c).alias(c) for c in ("b", "c")]
+    ).withColumns({
+        "below": F.sum("b").over(whole),
+        "upto": F.sum("b").over(whole) + F.sum("c").over(whole.orderBy("cell").rowsBetween(W.unboundedPreceding, W.currentRow)),
+        "want": (F.col("n") - 1) * F.col("p"),
+    })
+    ranks = {"l": F.floor("want"), "h": F.ceil("want")}
+    start = F.col("upto") - F.col("c")
+    holds = [(F.col("cell") >= 0) & (r >= start) & (r < F.col("upto")) for r in ranks.values()]
+    chosen = cells.filter(holds[0] | holds[1]).select(*cell, start.alias("start"), "want")
+    inner = null_safe_join(parts.filter("x IS NOT NULL").select(*cell, "x", "c"), chosen, cell, "inner").withColumn(
+        "end", F.col("start") + F.sum("c").over(W.partitionBy(*cell).orderBy("x").rowsBetween(W.unboundedPreceding, W.currentRow))
+    )
+    hit = {s: F.max(F.when((r < F.col("end")) & (r >= F.col("end") - F.col("c")), F.col("x"))).alias(s) for s, r in ranks.items()}
+    edges = cells.groupBy(*one).agg(
+        *[F.max(c).alias(c) for c in ("n", "want", "below", "upto", "before")], F.min("after").alias("after")
+    )
+    found = null_safe_join(edges, inner.groupBy(*one).agg(*hit.values()), one)
+    value = {
+        s: F.when(F.col(s).isNotNull(), F.col(s))
+        .when(r == F.col("below") - 1, F.col("before"))
+        .when(r == F.col("upto"), F.col("after"))
+        .otherwise(F.raise_error(F.lit("quantile bracket missed")).cast("double"))
+        for s, r in ranks.items()
+    }
+    found = found.withColumn("v", value["l"] + (value["h"] - value["l"]) * (F.col("want") - F.floor("want")))
+    return found.groupBy(*own).agg(
+        F.max("n").alias("n"), F.array(*[F.max(F.when(F.col("i") == i, F.col("v"))) for i in range(k)]).alias("q")
     )
