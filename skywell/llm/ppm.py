@@ -23,8 +23,8 @@ from skywell.llm.common import fresh, held_out, query, small_batches, table, wri
 
 ORDER = 5  # bytes of the longest context
 BITS, END, SYMBOLS = 9, 257, 257  # a byte b is symbol b + 1; 0 stands before the text; 257 ends it
-BLOCK = 48 << 20  # characters of a block of documents, about
-PART = 1 << 20  # bytes coded at a time
+BLOCK = 16 << 20  # characters of a block of documents, about
+PART, WORDS = 1 << 18, 1 << 21  # bytes coded, and bytes whose words are looked up, at a time
 
 
 def lowered(texts) -> pa.Array:
@@ -33,12 +33,12 @@ def lowered(texts) -> pa.Array:
     return pc.ascii_lower(pc.fill_null(flat.cast(pa.large_string()), ""))
 
 
-def parts(texts: pa.Array):
-    """Slices of texts of about PART bytes together: `(first, number)`."""
+def parts(texts: pa.Array, most: int = PART):
+    """Slices of texts of about `most` bytes together: `(first, number)`."""
     sizes = pc.binary_length(texts).to_numpy()
     first, room = 0, 0
     for i, n in enumerate(sizes.tolist()):
-        if room + n > PART and i > first:
+        if room + n > most and i > first:
             yield first, i - first
             first, room = i, 0
         room += n
@@ -117,21 +117,24 @@ def contents(block: pa.Table) -> pa.Table:
     words, codes = [], []
     for trained in (True, False):
         chosen = texts.filter(learn if trained else pc.invert(learn))
+        for first, n in parts(chosen, WORDS):
+            kinds = pc.value_counts(pc.ascii_split_whitespace(chosen.slice(first, n)).flatten())
+            real = pc.not_equal(kinds.field("values"), "")
+            words.append(pa.table({"w": kinds.field("values"), "n": pa.array(kinds.field("counts").to_numpy() * trained)}).filter(real))
         for first, n in parts(chosen):
-            part = pc.ascii_split_whitespace(chosen.slice(first, n)).flatten()
-            kinds = pc.value_counts(part.filter(pc.not_equal(part, "")))
-            words.append((kinds.field("values"), kinds.field("counts").to_numpy() * trained))
             code, count = counted(runs_of(chosen.slice(first, n))[0])
             codes.append((code, count * trained))
-    code, code_count = counted(*(np.concatenate(x) for x in zip(*codes))) if codes else (np.zeros(0, np.int64),) * 2
-    kinds = pa.table({"w": pa.concat_arrays([w for w, _ in words]), "n": np.concatenate([n for _, n in words])}) if words else None
-    kinds = kinds.group_by("w").aggregate([("n", "sum")]) if kinds else pa.table({"w": pa.array([], pa.large_string()), "n_sum": pa.array([], pa.int64())})
-    total = kinds.num_rows + len(code)
+            if sum(len(c) for c, _ in codes) > 1 << 20:
+                codes = [counted(*(np.concatenate(x) for x in zip(*codes)))]
+    code, code_count = counted(*(np.concatenate(x) for x in zip(*codes)))  # a block has a row, so a part
+    kinds = pa.concat_tables(words).group_by("w").aggregate([("n", "sum")])
+    word, word_count = kinds.column("w").combine_chunks(), kinds.column("n_sum").combine_chunks()
+    total = len(word) + len(code)
     return pa.table({
         "block": pa.array(np.full(total, number)),
-        "word": pa.concat_arrays([kinds.column("w").combine_chunks().cast(pa.string()), pa.nulls(len(code), pa.string())]),
-        "run": pa.concat_arrays([pa.nulls(kinds.num_rows, pa.int64()), pa.array(code)]),
-        "n": pa.concat_arrays([kinds.column("n_sum").combine_chunks().cast(pa.int64()), pa.array(code_count)]),
+        "word": pa.concat_arrays([word.cast(pa.string()), pa.nulls(len(code), pa.string())]),
+        "run": pa.concat_arrays([pa.nulls(len(word), pa.int64()), pa.array(code)]),
+        "n": pa.concat_arrays([word_count.cast(pa.int64()), pa.array(code_count, pa.int64())]),
     })
 
 
@@ -210,9 +213,8 @@ def score_block(totals: dict):
         places, run_value = Places(runs.column("run").to_numpy()), runs.column("value").to_numpy()
         texts = lowered(docs.column("text"))
         out = [[], [], [], []]
-        for first, n in parts(texts):
-            chosen = texts.slice(first, n)
-            split = pc.ascii_split_whitespace(chosen)
+        for first, n in parts(texts, WORDS):
+            split = pc.ascii_split_whitespace(texts.slice(first, n))
             flat = split.flatten()
             doc = np.repeat(np.arange(n), np.diff(split.offsets.to_numpy()))
             real = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
@@ -221,7 +223,8 @@ def score_block(totals: dict):
             out[0].append(np.bincount(doc, minlength=n))
             out[1].append(np.bincount(doc, counts[at] > 0, n).astype(np.int64))
             out[2].append(np.bincount(doc, bits[at], n))
-            codes, sizes = runs_of(chosen)
+        for first, n in parts(texts):
+            codes, sizes = runs_of(texts.slice(first, n))
             out[3].append(np.bincount(np.repeat(np.arange(n), sizes), run_value[places(codes)], n))
         columns = [docs.column("k"), pc.invert(docs.column("learn")), *[pa.array(np.concatenate(c)) for c in out]]
         return pa.table([c.cast(t) for c, t in zip(columns, kinds)], names)
@@ -237,7 +240,7 @@ def score_documents(df: DataFrame, is_held_out: Column, text: str = "text", key:
     key and text, so neither a hot key nor a hot text gathers; repeated rows repeat; other columns are not read.
     """
     spark = df.sparkSession
-    small_batches(spark)
+    small_batches(spark, 10_000)  # blocks come whole, most of their rows are words and runs
     kind = dict(df.dtypes)[key]
     rows = df.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), (~is_held_out).alias("learn"))
     ends, characters = rows.agg(F.count(F.when(F.col("learn"), 1)), F.sum(F.length("text"))).first()
