@@ -247,3 +247,23 @@ def test_seasonal_model_follows_a_daily_cycle(spark):
     assert np.mean((out.lo <= truth) & (truth <= out.hi)) >= 0.8
     width = (out.hi - out.lo).to_numpy()
     assert (np.diff(width) > -1e-9).all()
+
+
+def test_serving_reaches_as_far_as_its_lags(spark):
+    """A dense series of 400 hours has six anchors whatever its longest lag is."""
+    rows = [(START + dt.timedelta(hours=i), float(i % 37), float(i % 11), float(i % 13)) for i in range(400)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, nox_gt double, co_gt double, no2_gt double")
+    for lags in ((1, 24), (1, 24, 120), (200,)):
+        got = predict.serving_rows(df, "ts", lags=lags).orderBy("step").collect()
+        assert [r.step for r in got] == [1, 2, 3, 4, 5, 6]
+        assert all(r[f"nox_lag{lags[-1]}"] == float((393 + i - lags[-1] + 1) % 37) for i, r in enumerate(got))
+
+
+def test_forecast_of_a_short_series_comes_without_values(spark):
+    rows = [(k, START + dt.timedelta(hours=i), float(i % 24) + 0.1 * (i % 7)) for k, n in (("long", 600), ("short", 30)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, nox_gt double")
+    fitted, _ = seasonal.fit_seasonal_ar(df.filter("k = 'long'"), "ts", "nox_gt", ["k"])
+    lagged = seasonal.seasonal_rows(df, "ts", "nox_gt", ["k"])
+    both = fitted.unionByName(fitted.withColumn("k", F.lit("short"))).withColumn("steps", F.lit(3))
+    got = seasonal.forecast(both, seasonal.tails(lagged, "ts", ["k"]), ["k"], "ts").collect()
+    assert sorted((r.k, r["mean"] is None or r["mean"] != r["mean"]) for r in got) == [("long", False)] * 3 + [("short", True)] * 3

@@ -70,14 +70,25 @@ def test_live_state_is_the_newest_rows_in_any_order(spark, tmp_path):
     names = "ts timestamp_ntz, co_gt double, nox_gt double, no2_gt double, c6h6_gt double"
     out = str(tmp_path / "live")
     for i, part in enumerate([rows[200:], rows[:150], rows[100:210]]):  # late and repeated rows
-        refresh(spark.createDataFrame(part, names), i, out, "ts")
-    refresh(spark.createDataFrame(rows[100:210], names), 2, out, "ts")  # the last batch again
+        refresh(spark.createDataFrame(part, names), i, out, "ts", identity=["ts"])
+    refresh(spark.createDataFrame(rows[100:210], names), 2, out, "ts", identity=["ts"])  # the last batch again
     state = spark.read.parquet(f"{out}/state").filter("batch_id = 2")
     assert state.count() == 300
     stats = spark.read.parquet(f"{out}/stats").filter("batch_id = 2 AND window = 'hourly' AND channel = 'co_gt'").first()
     assert (stats["min"], stats["max"], stats["count"]) == (276.0, 299.0, 24)
 
 
+def test_live_state_keeps_readings_of_one_time_and_the_latest_update(spark, tmp_path):
+    rows = [(START + dt.timedelta(hours=i // 2), float(i), 1.0, 2.0, i % 7 + 0.5) for i in range(100)]  # two stations, no key
+    names = "ts timestamp_ntz, co_gt double, nox_gt double, no2_gt double, c6h6_gt double"
+    out = str(tmp_path / "live")
+    for i, part in enumerate([rows[60:], rows[:60]]):
+        refresh(spark.createDataFrame(part, names), i, out, "ts")
+    assert spark.read.parquet(f"{out}/state").filter("batch_id = 1").count() == 100
+    seen = spark.read.parquet(f"{out}/summary").filter("batch_id = 1").first()
+    assert (seen.total_records, seen.last_update, seen.daily) == (100, rows[-1][0], 100)
+
+
 def test_dense_sources_get_narrow_buckets(spark):
     df = spark.range(4000).select(F.lit("s").alias("k"), F.timestamp_add("SECOND", F.col("id"), F.lit(START).cast("timestamp_ntz")).alias("ts"))
     assert fitted_widths(df, ["k"], "ts", rows=100)[0] == 100
