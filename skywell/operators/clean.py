@@ -90,8 +90,11 @@ def exclusion_details(reason: str, ranges=CLEAN_RANGES) -> Column:
     return out
 
 
-def impute(df: DataFrame, scope, order, widths=()) -> DataFrame:
-    """C1-C3 by column group, from one ordered pass. `scope` bounds what a fill may see: a series, or a micro-batch."""
+def impute(df: DataFrame, scope, order, widths) -> DataFrame:
+    """C1-C3 by column group, from one ordered pass. `scope` bounds what a fill may see: a series, or a micro-batch.
+
+    `widths` are the buckets a long series is cut into; `()` only where a scope is a bounded micro-batch.
+    """
     scope = list(scope)
     wanted = {f"_last_{c}": LastBefore(F.col(c)) for c in CARRIED} | neighbours(INTERPOLATED, located=True)
     found = running(df, scope, order, wanted, widths)

@@ -21,8 +21,8 @@ def dedupe_time(df: DataFrame, keys, ts: str, tiebreak: str) -> DataFrame:
     )
 
 
-def ffill(df: DataFrame, cols, keys, order, widths=()) -> DataFrame:
-    """Carry the last known value forward."""
+def ffill(df: DataFrame, cols, keys, order, widths) -> DataFrame:
+    """Carry the last known value forward; `widths` as in `running`, `()` only for bounded groups."""
     found = running(df, keys, order, {f"_last_{c}": LastBefore(F.col(c)) for c in cols}, widths)
     return found.withColumns({c: F.coalesce(F.col(c), F.col(f"_last_{c}")) for c in cols}).drop(
         POSITION, *[f"_last_{c}" for c in cols]
@@ -67,12 +67,13 @@ def between(before: Column, after: Column, at: Column, reach: int | None) -> Col
 
 
 def interpolate(
-    df: DataFrame, cols, keys, order, by: str = "time", limit: int | None = None, step: int = HOUR, widths=(),
+    df: DataFrame, cols, keys, order, by: str = "time", limit: int | None = None, step: int = HOUR, *, widths,
 ) -> DataFrame:
     """Linear interpolation between known neighbours, by row position or by time.
 
     Leading gaps stay; trailing gaps repeat the last value. `limit` fills only the first rows
-    of each gap; with `by="time"` it counts grid steps, so rows must lie on a regular grid.
+    of each gap; with `by="time"` it counts grid steps, so rows must lie on a regular grid. `widths`
+    as in `running`, `()` only for bounded groups.
     """
     if by not in ("row", "time"):
         raise ValueError("by must be 'row' or 'time'")

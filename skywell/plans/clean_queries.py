@@ -23,7 +23,7 @@ def usable(spark, sf_dir) -> DataFrame:
 
 
 def cleaned(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    return process_batch(flat(spark, sf_dir), BATCH, ORDER)
+    return process_batch(flat(spark, sf_dir), BATCH, ORDER, ())
 
 
 TEXT_SENSORS = [
@@ -112,7 +112,7 @@ def exclusion_summary(spark, sf_dir):
 def impute_batch(spark, sf_dir):
     """C1-C3 within each micro-batch of ten messages."""
     typed = usable(spark, sf_dir)
-    return rounded(clean.impute(typed, BATCH, ORDER).select("event_id", "batch_id", *SENSORS))
+    return rounded(clean.impute(typed, BATCH, ORDER, ()).select("event_id", "batch_id", *SENSORS))
 
 
 @query(final(ctes.imputed("source"), "imputed", ["event_id", "source"], SENSORS))

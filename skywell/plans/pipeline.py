@@ -10,7 +10,7 @@ from skywell.operators.quality import with_quality_score
 from skywell.schema import CLEAN_RANGES, DERIVED_COLUMNS, FLAT_COLUMNS
 
 
-def judge(flat: DataFrame, scope, order, widths=(), ranges=CLEAN_RANGES) -> tuple[DataFrame, DataFrame]:
+def judge(flat: DataFrame, scope, order, widths, ranges=CLEAN_RANGES) -> tuple[DataFrame, DataFrame]:
     """Type, impute and range-check flat messages: rows to keep, and rows with a reason.
 
     Unusable rows leave before imputation; range checks see imputed values.
@@ -25,7 +25,7 @@ def judge(flat: DataFrame, scope, order, widths=(), ranges=CLEAN_RANGES) -> tupl
     return kept, refused.withColumn("exclusion_details", exclusion_details("exclusion_reason", ranges))
 
 
-def process_batch(flat: DataFrame, scope, order, widths=(), ranges=CLEAN_RANGES) -> tuple[DataFrame, DataFrame]:
+def process_batch(flat: DataFrame, scope, order, widths, ranges=CLEAN_RANGES) -> tuple[DataFrame, DataFrame]:
     """The clean table's rows, derived and scored, and the quarantined rows."""
     kept, refused = judge(flat, scope, order, widths, ranges)
     extra = [c for c in flat.columns if c not in FLAT_COLUMNS]
