@@ -5,10 +5,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skywell.functions.quantiles import exact_quantiles
-from skywell.operators.explore import standardize
 from skywell.session import settle
 
 TREES, SAMPLE = 100, 256  # fixed values: the usual forest size
@@ -46,21 +45,24 @@ def grow_tree(points: np.ndarray, seed: int) -> list[tuple]:
     return [tuple(n) for n in nodes]
 
 
+def standardized(stats: dict[str, tuple[float, float]]) -> list[Column]:
+    """`_z_` columns from means and deviations; a column without spread is only centred."""
+    return [((F.col(c).cast("double") - m) / (s or 1.0)).alias(f"_z_{c}") for c, (m, s) in stats.items()]
+
+
 @dataclass
 class Forest:
     """A fitted forest: at most `TREES * (2 * SAMPLE - 1)` nodes, whatever the data size."""
 
     cols: list[str]
     row_id: str
-    stats: DataFrame
+    stats: dict[str, tuple[float, float]]  # mean and deviation of each column
     nodes: list[list[tuple]]
     sample: int
 
     def score(self, df: DataFrame) -> DataFrame:
         """The complete rows of `df` with `anomaly` in (0, 1]; higher is more isolated."""
-        complete = df.dropna(subset=self.cols)
-        packed = complete.withColumns({f"_z_{c}": F.col(c).cast("double") for c in self.cols})
-        scaled = standardize(packed, [f"_z_{c}" for c in self.cols], fit=self.stats)
+        scaled = df.dropna(subset=self.cols).select("*", *standardized(self.stats))
         trees = [tuple(np.array(x) for x in zip(*t)) for t in self.nodes]
         norm = float(path_correction(self.sample))
 
@@ -94,14 +96,23 @@ class Forest:
 def fit_forest(df: DataFrame, cols, row_id: str, trees: int = TREES, sample: int = SAMPLE, seed: int = 42) -> Forest | None:
     """Grow each tree on its own sample of `sample` rows, chosen by hash so a retry repeats it.
 
-    A first hash thins the table to a pool whose size does not depend on it; each tree then
-    takes the pool rows with its smallest hashes. Returns None below two columns or ten rows.
+    A first hash thins the table to a pool whose size does not depend on it and deals every row of
+    it to a tree, or to several trees where the table is smaller than the pool; each tree then
+    takes the rows with its smallest hashes. Returns None below two columns or ten rows.
     """
     cols = list(cols)
     complete = df.dropna(subset=cols)
-    total = complete.count()
-    if len(cols) < 2 or total < MIN_ROWS:
+    if len(cols) < 2:
+        return None
+    scale = complete.agg(
+        F.count("*").alias("n"),
+        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in cols],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in cols],
+    ).first()
+    total = scale.n
+    if total < MIN_ROWS:
         return None
+    stats = {c: (scale[f"m_{c}"], scale[f"s_{c}"]) for c in cols}
     sample = min(sample, total)
 
     def share(column, wanted, of):
@@ -109,16 +120,16 @@ def fit_forest(df: DataFrame, cols, row_id: str, trees: int = TREES, sample: int
         return (F.pmod(column, F.lit(1 << 40)) / F.lit(float(1 << 40))) < min(1.0, wanted / of)
 
     pool_size = 4 * trees * sample
-    stats = complete.select(*[F.col(c).cast("double").alias(f"_z_{c}") for c in cols])
-    pool = complete.select(F.col(row_id).alias("_id"), *[F.col(c).cast("double").alias(f"_z_{c}") for c in cols]).filter(
-        share(F.xxhash64(F.col("_id"), F.lit(seed)), pool_size, total)
-    )
     names = [f"_z_{c}" for c in cols]
-    pool = standardize(pool, names, fit=stats)
+    pool = complete.filter(share(F.xxhash64(F.col(row_id), F.lit(seed)), pool_size, total)).select(
+        F.col(row_id).alias("_id"), *standardized(stats)
+    )
+    times = min(trees, math.ceil(pool_size / min(pool_size, total)))
+    turn = F.explode(F.sequence(F.lit(0), F.lit(times - 1)))
+    dealt = F.col("_turn") if times == trees else F.pmod(F.xxhash64("_id", "_turn", F.lit(seed)), F.lit(trees))
     drawn = (
-        pool.withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_h", F.xxhash64(F.col("_id"), F.col("_tree"), F.lit(seed)))
-        .filter(share(F.col("_h"), 4 * sample, min(pool_size, total)))
+        pool.withColumn("_turn", turn).withColumn("_tree", dealt.cast("int"))
+        .withColumn("_h", F.xxhash64(F.col("_id"), F.col("_tree"), F.lit(seed))).drop("_turn").distinct()
     )
 
     def build(part: pd.DataFrame) -> pd.DataFrame:

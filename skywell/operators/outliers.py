@@ -47,7 +47,7 @@ def forest_outliers(df: DataFrame, cols, ts: str, row_id: str, contamination: fl
     model = fit_forest(df, cols, row_id)
     if model is None:
         return df.sparkSession.createDataFrame([], _schema(df, [*ids, ts]))
-    scored = model.score(df)
+    scored = model.score(df).select(*ids, ts, "anomaly")
     return model.flag(scored, contamination).select(
         *ids, ts, F.lit(", ".join(cols)).alias("channel"), F.lit(None).cast("double").alias("value"),
         F.col("decision").alias("score"), F.lit("isolation_forest").alias("method"),

@@ -1,5 +1,7 @@
 """Queries on the dense hourly series: grid, features, splits, models, forecasts."""
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from skywell.operators import evaluate, features, grid, models, predict, seasonal
@@ -8,7 +10,7 @@ from skywell.plans.explore_queries import MEASURES, lineitem
 from skywell.plans.fixtures import hourly
 from skywell.plans.registry import final, query, rounded
 from skywell.schema import HORIZON, LAGS
-from skywell.session import settle
+from skywell.session import checkpoint_dir, settle
 
 SERIES = ["nox_gt", "co_gt", "no2_gt"]
 STATION = ["station"]
@@ -318,6 +320,14 @@ def fit_linear_volume(spark, sf_dir):
     return one_feature(spark, sf_dir, "linear")
 
 
+@query(slope_sql("linear", "cxy / vx"))
+def fit_linear_saved(spark, sf_dir):
+    """The same models, saved and loaded."""
+    path = f"{checkpoint_dir(spark)}/model-{uuid.uuid4()}"
+    models.save_table(one_feature(spark, sf_dir, "linear"), path)
+    return models.load_table(spark, path)
+
+
 @query(slope_sql("ridge", "cxy / (vx * (1 + 1000.0::DOUBLE / n))"))
 def fit_ridge_volume(spark, sf_dir):
     """I8."""

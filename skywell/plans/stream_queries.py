@@ -4,11 +4,14 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from skywell.plans import ctes, explore_queries, fixtures
+from skywell.functions.scalars import parse_locale_number
+from skywell.operators.clean import flatten_messages
+from skywell.plans import clean_queries, ctes, explore_queries, fixtures
 from skywell.plans.registry import final, query, rounded
-from skywell.schema import POLLUTANTS, SENSORS
+from skywell.schema import POLLUTANTS, SENSOR_HEADERS, SENSORS
 from skywell.session import checkpoint_dir
-from skywell.sources.messages import keyed, read_messages
+from skywell.sources.files import export_csv, load_table, read_sensor_csv
+from skywell.sources.messages import decode, keyed, read_messages, to_messages
 from skywell.streaming.ingest import read_ingested, run_ingest
 from skywell.streaming.live import run_live_analytics, tail_clean
 
@@ -38,6 +41,28 @@ def ingested(spark, sf_dir) -> str:
     return f"{base}/out"
 
 
+@query(
+    final(
+        "", "events",
+        ["strftime(ts, '%d/%m/%Y') AS date", "strftime(ts, '%H.%M.%S') AS time", "strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp",
+         "'file' AS source"],
+        clean_queries.TEXT_SENSORS,
+    )
+)
+def sensor_file_roundtrip(spark, sf_dir):
+    """A `;` file of every event is read, sent as messages, decoded, exported as CSV and read again."""
+    base = folder(spark)
+    raw = fixtures.raw_messages(spark, sf_dir)
+    lines = raw.select(
+        F.col("date").alias("Date"), F.col("time").alias("Time"), *[F.col(f"sensor_data.{c}").alias(h) for h, c in SENSOR_HEADERS.items()]
+    )
+    lines.write.option("sep", ";").option("header", True).csv(f"{base}/raw")
+    messages = to_messages(read_sensor_csv(spark, f"{base}/raw"), "file")
+    export_csv(flatten_messages(decode(keyed(messages))), f"{base}/export.csv")
+    rows = load_table(spark, f"{base}/export.csv")
+    return rounded(rows.select("date", "time", "timestamp", "source", *[parse_locale_number(c).alias(c) for c in SENSORS]))
+
+
 # The stream orders a day's messages by time and has no arrival number; event ids follow time.
 DAY_CLEAN = ctes.clean("source, date")
 

@@ -48,7 +48,7 @@ def test_published_indices(spark):
                     no2_gt=str(r[2]), temperature=str(r[3]), relative_humidity=str(r[4]), absolute_humidity="0,7")
             for i, r in enumerate(PUBLISHED)]
     rows = [(ts, d, t, {**s, **{c: s[c] or "1" for c in SENSORS}}, m) for ts, d, t, s, m in rows]
-    done, excluded = process_batch(flat(spark, rows).withColumn("b", F.lit(1)), ["b"], "n")
+    done, excluded = process_batch(flat(spark, rows).withColumn("b", F.lit(1)), ["b"], "n", ())
     got = {r.n: r for r in done.collect()}
     assert excluded.count() == 0
     for i, want in enumerate(PUBLISHED):
