@@ -31,8 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Arrow batches of few rows; plans made from here on use the setting."""
+    """Arrow batches of few rows, and few rows of a file decoded at a time: texts may be long.
+
+    Plans made from here on use the settings.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(BATCH_ROWS))
 
 
 def held_out(key: str, modulus: int, remainder: int) -> Column:
@@ -56,18 +60,19 @@ def mapped(df: DataFrame, text: str, keep, out: str, function) -> DataFrame:
     they are: nothing is shuffled.
     """
     small_batches(df.sparkSession)
-    inner = fresh("text_", keep)
-    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias(inner))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    keep = list(keep)
+    at = keep.index(text) if text in keep else len(keep)  # a text that is kept is sent once
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(f"`{text}`").alias(fresh("text_", keep))]))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[: len(keep)])
     made = T._parse_datatype_string(out)
     kinds = [to_arrow_type(f.dataType) for f in made.fields]
 
     def apply(batches):
         for b in batches:
-            columns = function(b.column(b.num_columns - 1).to_pylist())
-            arrays = [b.column(i) for i in range(b.num_columns - 1)]
+            columns = function(b.column(at).to_pylist())
+            arrays = [b.column(i) for i in range(len(keep))]
             arrays += [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, [*b.schema.names[:-1], *made.names])
+            yield pa.RecordBatch.from_arrays(arrays, [*keep, *made.names])
 
     return rows.mapInArrow(apply, f"{fields}, {out}" if fields else out)
 

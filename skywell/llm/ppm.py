@@ -23,7 +23,7 @@ from skywell.llm.common import fresh, held_out, query, small_batches, table, wri
 
 ORDER = 5  # bytes of the longest context
 BITS, END, SYMBOLS = 9, 257, 257  # a byte b is symbol b + 1; 0 stands before the text; 257 ends it
-BLOCK = 16 << 20  # characters of a block of documents, about
+BLOCK = 12 << 20  # characters of a block of documents, about
 PART, WORDS = 1 << 18, 1 << 21  # bytes coded, and bytes whose words are looked up, at a time
 
 
@@ -240,7 +240,7 @@ def score_documents(df: DataFrame, is_held_out: Column, text: str = "text", key:
     key and text, so neither a hot key nor a hot text gathers; repeated rows repeat; other columns are not read.
     """
     spark = df.sparkSession
-    small_batches(spark, 10_000)  # blocks come whole, most of their rows are words and runs
+    small_batches(spark, 2_000)  # blocks come whole, most of their rows are words and runs
     kind = dict(df.dtypes)[key]
     rows = df.select(F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), (~is_held_out).alias("learn"))
     ends, characters = rows.agg(F.count(F.when(F.col("learn"), 1)), F.sum(F.length("text"))).first()
