@@ -1,5 +1,6 @@
 """What the operators of this package share: tables, hold-out rows, written intermediates, batches."""
 
+import gc
 import uuid
 
 import numpy as np
@@ -92,6 +93,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now, not when the driver next runs out of room."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def sampled(key: Column, rows: int, wanted: int, seed: int) -> Column:
     """Whether a row is in a repeatable sample of about `wanted` of `rows` rows, chosen by hash."""
     share = min(1.0, wanted / max(rows, 1))

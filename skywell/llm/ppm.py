@@ -19,11 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skywell.llm.common import fresh, held_out, query, small_batches, table, written
+from skywell.llm.common import fresh, held_out, query, release, small_batches, table, written
 
 ORDER = 5  # bytes of the longest context
 BITS, END, SYMBOLS = 9, 257, 257  # a byte b is symbol b + 1; 0 stands before the text; 257 ends it
-BLOCK = 12 << 20  # characters of a block of documents, about
+BLOCK = 24 << 20  # characters of a block of documents, about
 PART, WORDS = 1 << 18, 1 << 21  # bytes coded, and bytes whose words are looked up, at a time
 
 
@@ -247,6 +247,7 @@ def score_documents(df: DataFrame, is_held_out: Column, text: str = "text", key:
     blocks = max(1, -(-(characters or 0) // block))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("k", "text"), F.lit(blocks)))
     inside = written(rows.groupBy("block").applyInArrow(contents, "block long, word string, run long, n long"))
+    release(spark)
 
     words = inside.filter(F.col("word").isNotNull()).select("block", "word", "n").repartition("word")
     word_counts = words.groupBy("word").agg(F.sum("n").alias("c"))
@@ -256,6 +257,7 @@ def score_documents(df: DataFrame, is_held_out: Column, text: str = "text", key:
     codes = coded(run_counts, entries, contexts)
     totals = word_counts.filter("c > 0").agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct")).first()
     totals = {"ends": ends, "tokens": (totals.tokens or 0) + ends, "distinct": totals.distinct + (ends > 0)}
+    release(spark)
     back = (
         words.select("block", "word").join(word_counts, "word").select("block", "word", F.lit(None).cast("long").alias("run"), F.col("c").cast("double").alias("value"))
         .unionByName(runs.select("block", "run").join(codes, "run").select("block", F.lit(None).cast("string").alias("word"), "run", "value"))
