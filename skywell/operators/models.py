@@ -185,6 +185,9 @@ class Boosted:
         return cls(GBTRegressionModel.load(f"{path}/model"), about.features, tuple(about.params), about.val_rmse)
 
 
+PIECE_ROWS = 20_000
+
+
 def fit_boosted(train: DataFrame, features: list[str], target: str, params: tuple, seed: int = 42) -> GBTRegressionModel:
     trees, rate, depth = params
     packed = VectorAssembler(inputCols=features, outputCol="_x").transform(train.dropna(subset=[*features, target]))
@@ -198,8 +201,10 @@ def select_boosted(
     parts: DataFrame, features: list[str], target: str = "y", candidates=tuple(BOOSTED_CANDIDATES), seed: int = 42
 ) -> Boosted:
     """Fit each setting on train, keep the lowest validation RMSE, refit on train + val."""
-    train = parts.filter("split = 'train'").persist()
-    val = parts.filter("split = 'val'").persist()
+    rows = parts.select("split", target, *features)
+    pieces = max(1, rows.count() // PIECE_ROWS)  # a tree level is a job: tasks must be worth their start
+    train = rows.filter("split = 'train'").coalesce(pieces).persist()
+    val = rows.filter("split = 'val'").coalesce(pieces).persist()
     score = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="rmse")
     try:
         best = None
@@ -208,7 +213,7 @@ def select_boosted(
             trial.val_rmse = score.evaluate(trial.predict(val))
             if best is None or trial.val_rmse < best.val_rmse:
                 best = trial
-        final = fit_boosted(train.unionByName(val), features, target, best.params, seed)
+        final = fit_boosted(train.unionByName(val).coalesce(pieces), features, target, best.params, seed)
     finally:
         train.unpersist()
         val.unpersist()
