@@ -7,9 +7,10 @@ pair is verified by aligning both sequences within the band that a similarity of
 the length of the longest common chain over the shingles of both less that length.
 
 Equal word sequences are one text from the start. In a bucket all texts are compared with a leader,
-so work grows with the bucket, not its square. Where a
+so a bucket that is one class costs no more than its size. Where a
 bucket still holds texts of several classes afterwards, it is split by every second function and
-a member of each class is compared with a leader again. Classes are the connected components.
+a member of each class is compared with a leader again. What then still shares a bucket across classes is compared
+in full, each pair once. Classes are the connected components.
 """
 
 import bisect
@@ -27,6 +28,7 @@ SIMILARITY = 0.8
 FUNCTIONS, LEAST = 16, 4  # signatures of four shingles: a pair of similarity 0.8 shares one with probability 0.9998
 SHORT, SHORT_FUNCTIONS, SHORT_LEAST = 20, 8, 2  # short texts get signatures of two shingles as well
 COLUMNS = 1 << 14  # shingles ordered at a time
+CELL = 256  # texts of a bucket compared in one task with as many others
 
 _R = np.random.default_rng(6)
 ORDERS = (_R.integers(0, 1 << 63, FUNCTIONS + SHORT_FUNCTIONS, np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -178,7 +180,84 @@ def classes(sketches: DataFrame) -> DataFrame:
     deeper = ["band", "sig", "band2", "sig2"]
     member = split.groupBy(*deeper, "label").agg(F.min(F.struct(F.xxhash64("tid", "band2").alias("h"), "tid", "size")).alias("x"))
     more = verified(led(member.select(*deeper, "x.tid", "x.size"), deeper, ("band", "band2")), texts)
-    return components(written(links.union(more))).withColumnRenamed("node", "tid")
+    links = written(links.union(more))
+    links = written(links.union(crossing(buckets, components(links), one_each, texts)))
+    return components(links).withColumnRenamed("node", "tid")
+
+
+def crossing(buckets: DataFrame, label: DataFrame, one_each: DataFrame, texts: DataFrame) -> DataFrame:
+    """`a`, `b`: all similar pairs that share a bucket but no class yet.
+
+    Each such pair has a member outside the largest class of its bucket. Those members, in cells, meet all
+    members of the bucket, in cells: what is sent grows with the members outside the largest class. A pair that
+    shares several buckets is compared in the first.
+    """
+    placed = buckets.join(label.withColumnRenamed("node", "tid"), "tid", "left").withColumn("label", F.coalesce("label", "tid"))
+    sizes = written(placed.groupBy("band", "sig", "label").agg(F.count("*").alias("n")))
+    most = sizes.groupBy("band", "sig").agg(
+        F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("labels")
+    ).filter("labels > 1")
+    cells = lambda n: F.ceil(n / CELL).cast("int")
+    most = written(most.select(
+        "band", "sig", F.col("most.label").alias("main"), cells(F.col("all") - F.col("most.n")).alias("few"), cells(F.col("all")).alias("many")
+    ))
+    mixed_up = written(placed.join(most, ["band", "sig"]))
+    if mixed_up.isEmpty():
+        return buckets.sparkSession.createDataFrame([], "a binary, b binary")
+    used = sent_if_small(written(mixed_up.select("tid").distinct()))
+    words = texts.join(used, "tid", "left_semi").groupBy("tid").agg(F.min("words").alias("words"))
+    known = written(words.join(one_each.select("tid", "x.signatures"), "tid"))
+    rows = mixed_up.join(known, "tid").withColumn("main", F.col("label") == F.col("main"))
+    at = F.xxhash64("tid", F.lit(6))
+    left = rows.filter("not main").withColumn("i", F.pmod(at, F.col("few"))).withColumn("j", F.explode(F.expr("sequence(0, many - 1)")))
+    right = rows.withColumn("j", F.pmod(at, F.col("many"))).withColumn("i", F.explode(F.expr("sequence(0, few - 1)")))
+    cell = ["band", "sig", "i", "j"]
+    columns = [*[F.col(c).cast("long").alias(c) for c in cell], "tid", "size", "label", "main", "signatures", "words"]
+    left, right = left.select(*columns), right.select(*columns)
+    asked = left.toDF(*[f"l_{c}" for c in left.columns])
+    both = asked.groupBy(*[f"l_{c}" for c in cell]).cogroup(right.groupBy(*cell))
+    return written(both.applyInArrow(compared, "a binary, b binary").distinct())
+
+
+def compared(left: pa.Table, right: pa.Table) -> pa.Table:
+    """The similar pairs of a cell outside the largest class of a bucket with a cell of all its members."""
+    out = ([], [])
+    if left.num_rows and right.num_rows:
+        left = left.rename_columns([c.removeprefix("l_") for c in left.column_names])
+        band = left.column("band")[0].as_py()
+        (ids, labels, signs), (others, other_labels, other_signs) = (
+            (np.array(t.column("tid").to_pylist(), object), np.array(t.column("label").to_pylist(), object),
+             [np.array(x, np.int64) for x in t.column("signatures").to_pylist()]) for t in (left, right)
+        )
+        width = max(map(len, (*signs, *other_signs)))
+        filled = np.zeros((len(others), width), np.int64)
+        there = np.zeros((len(others), width), np.bool_)
+        for k, x in enumerate(other_signs):
+            filled[k, : len(x)], there[k, : len(x)] = x, True
+        size, other_size = (t.column("size").to_numpy().astype(float) for t in (left, right))
+        main = right.column("main").to_numpy(zero_copy_only=False).astype(bool)
+        keys, other_keys = (
+            [labelled(shingles(np.frombuffer(x, "<u2").astype(np.uint64), WORDS)) for x in t.column("words").to_pylist()] for t in (left, right)
+        )
+        flat, place = np.unique(np.concatenate(other_keys), return_inverse=True)
+        starts = np.concatenate(([0], np.cumsum([len(k) for k in other_keys])))[:-1]
+        for i, x in enumerate(keys):
+            near = np.minimum(size[i], other_size) >= SIMILARITY * np.maximum(size[i], other_size) - 1e-9
+            near &= (other_labels != labels[i]) & (main | (others > ids[i]))
+            n = min(len(signs[i]), band)
+            near &= ~((filled[:, :n] == signs[i][:n]) & there[:, :n]).any(axis=1)  # compared in an earlier band
+            if not near.any():
+                continue
+            in_x = np.isin(flat, x, assume_unique=True)
+            shared = np.add.reduceat(in_x[place].astype(np.int64), starts)  # a chain is no longer than what both have
+            near &= shared >= SIMILARITY / (1 + SIMILARITY) * (len(x) + other_size) - 1e-9
+            for j in np.flatnonzero(near):
+                y = other_keys[j]
+                n = chain(x, y)
+                if n >= SIMILARITY * (len(x) + len(y) - n):
+                    out[0].append(min(ids[i], others[j]))
+                    out[1].append(max(ids[i], others[j]))
+    return pa.table([pa.array(x, pa.binary()) for x in out], ["a", "b"])
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -142,3 +142,24 @@ def test_components_of_a_long_path_and_a_star(spark):
     edges = [(names[i], names[i + 1]) for i in range(199)] + [(names[200], x) for x in names[201:390]] + [(names[395], names[395])]
     got = {x.node: x.label for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{x: min(names[:200]) for x in names[:200]}, **{x: min(names[200:390]) for x in names[200:390]}}
+
+
+def test_planted_pairs_in_a_crowd_below_the_threshold(spark):
+    """Texts of one template are under 0.8 from one another, the planted pairs above; members that never lead are compared too."""
+    r = random.Random(12)
+    template = [f"t{i}" for i in range(180)]
+    rows, partner = [], {}
+    for i in range(300):
+        own = [f"u{i}x{k}" for k in range(30)]
+        rows.append((i, " ".join(template + own)))  # crowd: 176 of 236 shingles, 0.746
+        if i < 40:
+            changed = own[:6] + [f"v{i}x{k}" for k in range(24)]  # 182 of 230 shingles with the crowd's text, 0.79
+            near = own[:14] + [f"w{i}x{k}" for k in range(16)]  # 190 of 222, 0.856
+            rows += [(1000 + i, " ".join(template + changed)), (2000 + i, " ".join(template + near))]
+            partner[i] = 2000 + i
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x.doc_id: x.class_id for x in near_duplicates(df).collect()}
+    want = brute_classes(dict(rows))
+    assert all(want[i] == want[j] for i, j in partner.items()) and len(set(want.values())) == len(rows) - len(partner)
+    assert got == want
