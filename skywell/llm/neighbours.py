@@ -6,8 +6,10 @@ its several nearest axes in each table, and everything found there is ranked by
 product. Buckets are split into cells of a few hundred rows, so one that holds a third of all rows
 is many cells; the queries that visit it visit each. What a cell returns is the best few rows for each query.
 
-Vectors of unequal length get one more coordinate that makes them equally long, as is usual for
-largest inner products; then the nearest by angle is the largest by product.
+Rows are dealt to bands of nearly one length, each with its own buckets, and hashed by direction alone. The score of
+the last row a query found, over the longest length of a band, is the least cosine at which a row of the band can
+still be among the nearest. Where the tables would miss too many rows at that cosine, as in bands of few long rows, the query
+is compared with the whole band.
 """
 
 import numpy as np
@@ -19,6 +21,8 @@ from skywell.llm.common import fresh, mixed, query, small_batches, table, writte
 TABLES = 20
 PROBES = 5
 CELL = 512  # rows
+BAND = 1.1  # longest to shortest row of a band
+FOUND = 0.95  # least probability that the tables find a row that can be among the nearest
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -45,17 +49,30 @@ def sides(x: np.ndarray, flips: np.ndarray) -> np.ndarray:
     return np.concatenate((x, -x), axis=1)
 
 
-def widened(x: np.ndarray, longest: float, query: bool) -> np.ndarray:
-    """Unit rows of a power of two of coordinates; stored rows shorter than `longest` get one more."""
-    lengths = np.linalg.norm(x, axis=1, keepdims=True)
-    if longest:
-        rest = np.zeros_like(lengths) if query else np.sqrt(np.maximum(longest**2 - lengths**2, 0))
-        x = np.concatenate((x, rest), axis=1) / (lengths if query else longest)
-    else:
-        x = x / lengths
+def widened(x: np.ndarray) -> np.ndarray:
+    """Unit rows of a power of two of coordinates."""
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
     return np.pad(x, ((0, 0), (0, (1 << max(x.shape[1] - 1, 1).bit_length()) - x.shape[1])))
 
 
+def least_cosine(dims: int, tables: int, probes: int, draws: int = 2000) -> float:
+    """The cosine from which a row is found with probability `FOUND`, by drawing rotated pairs; 2 if none is enough."""
+    size = 1 << max(dims - 1, 1).bit_length()
+    r = np.random.default_rng(size)
+    a, b = r.normal(size=(2, draws, size))
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
+    ends = np.concatenate((a, -a), axis=1)
+    for cosine in np.arange(98, -1, -2) / 100:
+        x = cosine * a + np.sqrt(1 - cosine**2) * b
+        code = np.concatenate((x, -x), axis=1).argmax(axis=1)
+        rank = (ends > ends[np.arange(draws), code][:, None]).sum(axis=1)
+        if 1 - (rank >= probes).mean() ** tables < FOUND:
+            return float(cosine + 0.02) if cosine < 0.98 else 2.0
+    return 0.0
+
+
 def products(q: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Inner products of paired rows; each depends on its own two rows alone, so copies tie."""
     return (q * m).sum(axis=1)
@@ -89,8 +106,9 @@ def nearest(
 
     `is_query` is a condition on `key`. Rows with a null key or vector, a null or non-finite component or
     only zeros take no part; of rows with one key the least vector counts; vectors of another dimension are
-    compared among themselves. A query that finds fewer than it wants, where there are more, is compared with
-    all rows, so small tables give all candidates. Other columns are not read.
+    compared among themselves. A query that finds fewer than it wants is compared with
+    all rows, and one whose last score lets a band hold nearer rows than the tables surely find with all
+    rows of that band. Other columns are not read.
     """
     spark = df.sparkSession
     small_batches(spark)
@@ -102,7 +120,12 @@ def nearest(
     )
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     spans = {r["size"]: r for r in rows.groupBy("size").agg(F.min(length).alias("least"), F.max(length).alias("most"), F.count("*").alias("n")).collect()}
-    longest = {d: 0.0 if r.most <= r.least * (1 + 1e-5) else r.most for d, r in spans.items()}
+    # bands start at the least length of a dimension, so rows of one length are one band
+    least = F.create_map(*[F.lit(x) for d, r in spans.items() for x in (d, r.least)]) if spans else None
+    band = F.floor(F.log(length / F.element_at(least, F.col("size"))) / np.log(BAND) + 1e-9).cast("int") if spans else F.lit(0)
+    rows = written(rows.withColumn("length", length).withColumn("band", band))
+    bands = written(rows.groupBy("size", "band").agg(F.max("length").alias("longest")))
+    trusted = {d: least_cosine(d, tables, probes) for d in spans}
 
     def hashed(query: bool, every: bool = False):
         def apply(batches):
@@ -110,7 +133,7 @@ def nearest(
                 dims = b.column("size").to_numpy()
                 for d in np.unique(dims):
                     part = b.filter(pa.array(dims == d))
-                    x = widened(matrix(part.column("v")), longest[int(d)], query)
+                    x = widened(matrix(part.column("v")))
                     flips = signs(tables, x.shape[1], seed)
                     for t in range(1 if every else tables):
                         near = sides(x, flips[t])
@@ -123,15 +146,17 @@ def nearest(
                         take = pa.array(np.repeat(np.arange(len(x)), codes.shape[1]))
                         yield pa.RecordBatch.from_arrays(
                             [part.column("id").take(take), part.column("v").take(take),
-                             pa.array((codes.ravel() + (t << 32)).astype(np.int64)), part.column("size").take(take)],
-                            ["id", "v", "code", "size"],
+                             pa.array((codes.ravel() + (t << 32)).astype(np.int64)), part.column("size").take(take),
+                             part.column("band").take(take)],
+                            ["id", "v", "code", "size", "band"],
                         )
 
         return apply
 
-    schema = "id long, v array<double>, code long, size int"
-    members = written(rows.mapInArrow(hashed(False), schema))
-    bucket = ["size", "code"]
+    schema = "id long, v array<double>, code long, size int, band int"
+    member_rows = rows.select("id", "v", "size", "band")
+    members = written(member_rows.mapInArrow(hashed(False), schema))
+    bucket = ["size", "band", "code"]
     cells = F.ceil(F.col("n") / CELL).cast("int")
     counted = written(members.groupBy(*bucket).agg(F.count("*").alias("n")).withColumn("cells", cells).drop("n"))
     placed = members.join(counted, bucket).withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
@@ -148,10 +173,12 @@ def nearest(
             out.append((q_ids[first : first + 256][a], m_ids[b], score))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], ["q", "m", "score"])
 
-    def search(queries: DataFrame, members: DataFrame) -> DataFrame:
+    def search(queries: DataFrame, members: DataFrame, key: list[str]) -> DataFrame:
+        """Every query against the buckets that agree with it in `key`, in whatever band where that is not in it."""
         asked = [f"q_{c}" for c in bucket]
         split = counted.select(*[F.col(c).alias(a) for c, a in zip(bucket, asked)], F.sequence(F.lit(0), F.col("cells") - 1).alias("all_cells"))
-        visits = queries.toDF("id", "v", "q_code", "q_size").join(split, asked).withColumn("q_cell", F.explode("all_cells"))
+        visits = queries.select("id", "v", *[F.col(c).alias(f"q_{c}") for c in key]).join(split, [f"q_{c}" for c in key])
+        visits = visits.withColumn("q_cell", F.explode("all_cells"))
         both = visits.select("id", "v", *asked, "q_cell").groupBy(*asked, "q_cell").cogroup(members.groupBy(*bucket, "cell"))
         found = both.applyInArrow(compare, "q long, m long, score double")
         return found.distinct()
@@ -161,15 +188,16 @@ def nearest(
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= wanted)
 
     asking = rows.filter(is_query(F.col("id")))
-    found = written(ranked(search(asking.mapInArrow(hashed(True), schema), placed)))
-    enough = found.groupBy("q").agg(F.count("*").alias("k"))
-    total = F.create_map(*[F.lit(x) for d, r in spans.items() for x in (d, min(wanted, r.n - 1))]) if spans else F.lit(None)
-    short = asking.join(enough, asking.id == enough.q, "left").filter(F.coalesce("k", F.lit(0)) < F.element_at(total, F.col("size"))) if spans else asking
-    short = written(short.select("id", "v", "size"))
-    if not short.isEmpty():
+    found = written(ranked(search(asking.select("id", "v", "size", "band").mapInArrow(hashed(True), schema), placed, ["size", "code"])))
+    last = found.filter(F.col("rank") == wanted).select("q", F.col("score").alias("last"))
+    sure = F.element_at(F.create_map(*[F.lit(x) for d, c in trusted.items() for x in (d, c)]), F.col("size")) if spans else F.lit(0.0)
+    cosine = F.col("last") / (F.col("length") * F.col("longest"))  # of a row that would be the last
+    left = asking.drop("band").join(last, asking.id == last.q, "left").join(F.broadcast(bands), "size")
+    left = written(left.filter(F.col("last").isNull() | ((cosine < sure) & (cosine <= 1 + 1e-9))).select("id", "v", "size", "band"))
+    if not left.isEmpty():
         first = placed.filter(F.shiftright("code", 32) == 0)
-        rest = ranked(search(short.mapInArrow(hashed(True, every=True), schema), first))
-        found = found.join(short.select(F.col("id").alias("q")), "q", "left_anti").unionByName(rest)
+        rest = search(left.mapInArrow(hashed(True, every=True), schema), first, bucket)
+        found = ranked(found.select("q", "m", "score").union(rest).distinct())
     names = ["query_id", "rank", fresh(key, ["query_id", "rank", "score"]), "score"]
     return found.select("q", "rank", "m", "score").toDF(*names)
 

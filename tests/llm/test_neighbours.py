@@ -77,3 +77,20 @@ def test_a_hot_vector_is_split_into_cells(spark, monkeypatch):
     got = nearest(df, lambda k: k % 20 == 0, tables=8).collect()
     for q in (0, 20, 100):
         assert [v.vec_id for v in sorted((r for r in got if r.query_id == q), key=lambda r: r["rank"])] == [i for i in range(22) if i != q][:20]
+
+
+@pytest.mark.parametrize("kind", ["outlier", "lognormal"])
+def test_recall_on_unequal_lengths(spark, kind):
+    r = np.random.default_rng(7)
+    x = r.normal(size=(6000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "outlier":
+        x[17] *= 10
+    else:
+        x *= r.lognormal(0, 0.5, size=(len(x), 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    want = brute(np.arange(len(x)), x, every=100)
+    hits = 0
+    for row in nearest(df, lambda k: k % 100 == 0).collect():
+        hits += row.vec_id in {v for v, _ in want[row.query_id]}
+    assert hits / (20 * len(want)) >= 0.9
