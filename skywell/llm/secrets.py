@@ -34,8 +34,12 @@ ESCAPE = re.compile(
 )
 BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]+={0,2}|[A-Za-z0-9+/_-]{20,}={0,2}")
 CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
-#: All layers of one text together may inflate to this many bytes; what lies beyond is counted as unread.
+#: Inflated bytes are read in windows. A run without a blank may fill a window of this many bytes; a longer one is
+#: read in parts, and counted as unread as what it encodes as a whole is not opened.
 INFLATED = 64 << 20
+OVERLAP = 256  # bytes before the last blank of a window that the next one has too
+MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
+BROKEN = (OSError, zlib.error, lzma.LZMAError, EOFError, ValueError, zstandard.ZstdError)
 
 
 def found_in(text: str):
@@ -69,108 +73,224 @@ class Layer:
         return digest, int(self.low.min()), int(self.high.max())
 
 
-def inflate(raw: bytes, room: int) -> bytes | None:
-    """The content of compressed bytes, up to `room` + 1 bytes; None if they are not compressed."""
+class Zstd:
+    """A zstd frame with the interface of `zlib.decompressobj`; few bytes are taken at a time, as each may stand for many."""
+
+    def __init__(self):
+        self.inner, self.unconsumed_tail, self.unused_data, self.eof = zstandard.ZstdDecompressor().decompressobj(), b"", b"", False
+
+    def decompress(self, data: bytes, size: int) -> bytes:
+        out, self.unconsumed_tail = self.inner.decompress(data[:256]), data[256:]
+        if self.inner.eof:
+            self.eof, self.unused_data, self.unconsumed_tail = True, self.inner.unused_data + self.unconsumed_tail, b""
+        return out
+
+
+def opener(raw: bytes):
+    """What inflates bytes that begin so, or None."""
     if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        make = lambda: zlib.decompressobj(47)
-    elif raw[:3] == b"BZh":
-        make = bz2.BZ2Decompressor
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        make = lzma.LZMADecompressor
-    elif raw[:4] == b"\x28\xb5\x2f\xfd":
-        try:
-            return zstandard.ZstdDecompressor().stream_reader(raw).read(room + 1)
-        except zstandard.ZstdError:
-            return None
-    else:
+        return lambda: zlib.decompressobj(47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor
+    return Zstd if raw[:4] == b"\x28\xb5\x2f\xfd" else None
+
+
+class Feed:
+    """Pieces of bytes that can be looked at before they are taken."""
+
+    def __init__(self, pieces):
+        self.pieces, self.held = iter(pieces), b""
+
+    def peek(self, size: int) -> bytes:
+        while len(self.held) < size and (piece := next(self.pieces, b"")):
+            self.held += piece
+        return self.held
+
+    def take(self) -> bytes:
+        out, self.held = self.held or next(self.pieces, b""), b""
+        return out
+
+
+def inflated(feed: Feed, size: int):
+    """Pieces of the content of all compressed members, up to the first broken one."""
+    while make := opener(feed.peek(6)):
+        member, given, full = make(), b"", False
+        while not member.eof:
+            if not given and not full and not (given := feed.take()):
+                return
+            try:
+                piece = member.decompress(given, size)
+            except BROKEN:
+                return
+            given, full = getattr(member, "unconsumed_tail", b""), len(piece) >= size
+            if piece:
+                yield piece
+        feed.held = member.unused_data + feed.held
+
+
+def innermost(feed: Feed, size: int, seen: frozenset = frozenset()) -> Feed | None:
+    """The content inflated as often as it is compressed; None if it is not, or leads back to itself."""
+    digest = hashlib.blake2b(feed.peek(size), digest_size=16).digest()
+    if digest in seen or opener(feed.held) is None:
         return None
-    try:
-        out = make().decompress(raw, room + 1)
-    except (OSError, zlib.error, lzma.LZMAError, EOFError, ValueError):
+    inner = Feed(inflated(feed, size))
+    if not inner.peek(size):
         return None
-    return out or None
+    head = inner.held
+    deeper = innermost(inner, size, seen | {digest})
+    if deeper is None and not inner.held:
+        inner.held = head
+    return deeper or inner
+
+
+def as_text(raw: bytes) -> tuple[str, int, bool]:
+    """Bytes as UTF-8 or little-endian UTF-16, the bytes of a code unit, and whether all are text without control characters."""
+    if len(raw) >= 4 and 2 * raw[1::2].count(0) > len(raw) // 2:
+        text, width = raw[: len(raw) // 2 * 2].decode("utf-16-le", "replace"), 2
+        clean = len(raw) % 2 == 0 and not any(raw[1::2])
+    else:
+        text, width = raw.decode("utf-8", "surrogateescape"), 1
+        clean = not any("\udc80" <= c <= "\udcff" for c in text)
+    return text, width, clean and bool(text) and not CONTROL.search(text)
 
 
-def as_text(raw: bytes) -> str | None:
-    """Bytes as UTF-8 or little-endian UTF-16 without control characters, else None."""
-    try:
-        wide = len(raw) >= 4 and len(raw) % 2 == 0 and not any(raw[1::2])
-        text = raw.decode("utf-16-le" if wide else "utf-8")
-    except UnicodeDecodeError:
-        return None
-    return None if not text or CONTROL.search(text) else text
+def worth(text: str) -> bool:
+    """Whether there is anything in a text to find or open."""
+    return bool(PERCENT.search(text) or ESCAPE.search(text) or BASE64.search(text) or next(found_in(text), None))
 
 
 class Unwrapping:
     """The worklist of one text."""
 
     def __init__(self, text: str):
-        self.room, self.unread, self.opened = INFLATED, 0, 0
+        self.unread, self.opened = 0, 0
         self.base = sorted(((s, k, e) for k, s, e in found_in(text)))
         self.spans = set(self.base)
         if not (PERCENT.search(text) or ESCAPE.search(text) or BASE64.search(text)):
             return
-        work, seen = [Layer.of(text)], set()
-        while work:
-            layer = work.pop()
-            for child in (*self.rewritten(layer), *self.runs(layer)):
-                if child.text and (key := child.key()) not in seen:
-                    seen.add(key)
-                    self.opened += 1
-                    for k, s, e in found_in(child.text):
-                        low, high = child.span(s, e)
-                        self.spans.add((low, k, high))
-                    work.append(child)
-
-    def opened_bytes(self, raw: bytes, low: np.ndarray, high: np.ndarray) -> Layer | None:
-        """The text in bytes that came from `low`..`high`, inflated as often as they are compressed."""
-        seen = set()
-        while (digest := hashlib.blake2b(raw, digest_size=16).digest()) not in seen:
-            seen.add(digest)
-            inner = inflate(raw, self.room)
-            if inner is None:
+        work, seen = [self.children(Layer.of(text))], set()
+        while work:  # depth first, so that few windows of an inflated layer are there at a time
+            child = next(work[-1], None)
+            if child is None:
+                work.pop()
+            elif child.text and (key := child.key()) not in seen:
+                seen.add(key)
+                self.opened += 1
+                for k, s, e in found_in(child.text):
+                    low, high = child.span(s, e)
+                    self.spans.add((low, k, high))
+                work.append(self.children(child))
+
+    def children(self, layer: Layer):
+        yield from self.rewritten(layer)
+        yield from self.runs(layer)
+
+    def windows(self, feed: Feed, low: int, high: int):
+        """Inflated bytes as layers that overlap; a run without a blank is not cut until it fills `INFLATED`."""
+        held, long = b"", False
+        while True:
+            piece = feed.take()
+            held += piece
+            cut = max(held.rfind(b" ", 0, max(len(held) - OVERLAP, 0)) - OVERLAP, 0)
+            if piece and not cut:
+                if len(held) <= INFLATED:
+                    continue
+                long, cut = True, len(held) - OVERLAP
+            text = as_text(held)[0]
+            yield Layer(text, np.broadcast_to(low, len(text)), np.broadcast_to(high, len(text)))
+            if not piece:
                 break
-            if len(inner) > self.room:
-                self.unread += 1
-                return None
-            self.room -= len(inner)
-            raw = inner
-            low, high = np.full(len(raw), low.min()), np.full(len(raw), high.max())
-        text = as_text(raw)
-        if text is None:
-            return None
-        if len(text) == len(raw):
-            return Layer(text, low, high)
-        widths = np.fromiter((2 if len(raw) == 2 * len(text) and not any(raw[1::2]) else len(c.encode()) for c in text), np.int64, len(text))
-        ends = np.cumsum(widths)
-        return Layer(text, low[ends - widths], high[ends - 1])
+            held = held[cut:]
+        self.unread += long
+
+    def opened_bytes(self, raw: bytes, low: np.ndarray, high: np.ndarray, strict: bool):
+        """Layers of the content of bytes that came from `low`..`high`: inflated, or as they are.
+
+        `strict`: only bytes that are compressed from the first on, or text as a whole. Else compressed
+        members anywhere in them, and the text between what is no text if there is anything in it.
+        """
+        size = max(INFLATED >> 6, 1)
+        for at in [0] if strict else sorted({0, *(m.start() for m in MAGIC.finditer(raw))}):
+            if opener(raw[at : at + 6]) and (inner := innermost(Feed([raw[at:]]), size)):
+                yield from self.windows(inner, low[at:].min(), high[at:].max())
+                if strict:
+                    return
+        text, width, clean = as_text(raw)
+        if clean or (not strict and worth(text)):
+            if width == 1 and len(text) == len(raw):
+                yield Layer(text, low, high)
+            else:
+                sizes = (2 * (1 + (ord(c) > 0xFFFF)) if width == 2 else 1 if "\udc80" <= c <= "\udcff" else len(c.encode()) for c in text)
+                widths = np.fromiter(sizes, np.int64, len(text))
+                ends = np.cumsum(widths)
+                yield Layer(text, low[ends - widths], high[np.minimum(ends, len(raw)) - 1])
+
+    def read(self, layer: Layer, at: np.ndarray, strict: bool, known: list | None = None):
+        """Layers of the base64 digits at the places `at`; bytes in one of `known` are left out, others added to it."""
+        digits = "".join([layer.text[i] for i in at[: len(at) - (len(at) % 4 == 1)]]).replace("-", "+").replace("_", "/")
+        try:
+            raw = base64.b64decode(digits + "=" * (-len(digits) % 4))
+        except binascii.Error:
+            return
+        if not raw or (known is not None and any(raw in k for k in known)):
+            return
+        byte = np.arange(len(raw))
+        layers = self.opened_bytes(raw, layer.low[at[byte * 8 // 6]], layer.high[at[(byte * 8 + 7) // 6]], strict)
+        for child in layers:
+            if known is not None and (not known or known[-1] is not raw):
+                known.append(raw)
+            yield child
+
+    def read_any(self, layer: Layer, at: np.ndarray, strict: bool):
+        """`read`, True if it gave something."""
+        got = False
+        for child in self.read(layer, at, strict):
+            got = True
+            yield child
+        return got
 
     def runs(self, layer: Layer):
-        """Layers of their own: base64 runs, and escaped bytes that are compressed."""
+        """Layers of their own: base64 runs, and escaped bytes that are compressed.
+
+        A run is read whole. Where that is no text, it is read without its last line, which may be a word of what
+        follows, then from behind a `/`, `-` or `_`, and at last line by line from each of four digits on,
+        as text with other bytes in between.
+        """
         for m in BASE64.finditer(layer.text):
-            at = np.arange(m.start(), m.end())
-            digits = m.group().rstrip("=")
-            if "\n" in digits:
-                at = at[[c not in "\r\n" for c in m.group()]]
-                digits = re.sub(r"[\r\n]", "", digits)
-            digits = digits[: len(digits) - (len(digits) % 4 == 1)].replace("-", "+").replace("_", "/")
-            try:
-                raw = base64.b64decode(digits + "=" * (-len(digits) % 4))
-            except binascii.Error:
+            run = m.group().rstrip("=")
+            at = np.array([m.start() + i for i, c in enumerate(run) if c not in "\r\n"], np.int64)
+            if (yield from self.read_any(layer, at, True)):
                 continue
-            byte = np.arange(len(raw))
-            low, high = layer.low[at[byte * 8 // 6]], layer.high[at[(byte * 8 + 7) // 6]]
-            if len(raw) and (child := self.opened_bytes(raw, low, high)):
-                yield child
+            lines = [np.arange(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"[^\r\n]+", run)]
+            if len(lines) > 1 and (yield from self.read_any(layer, at[: -len(lines[-1])], True)):
+                at, lines = lines[-1], lines[-1:]
+            for k in np.flatnonzero([layer.text[i] in "/-_" for i in at]) + 1:
+                if len(at) - k >= 20 and self.begins_text(layer, at[k : k + 64]):
+                    if (yield from self.read_any(layer, at[k:], True)):
+                        at, lines = at[: k - 1], [at[: k - 1]]
+                        break
+            known = []
+            for part in [at, *lines] if len(lines) > 1 else [at]:
+                for first in range(4):
+                    if len(part) - first >= 16:
+                        yield from self.read(layer, part[first:], False, known)
+
         for pattern, skip in ((PERCENT, 1), (ESCAPE, 2)):
             for m in pattern.finditer(layer.text):
                 if skip == 1 or m.group().startswith("\\x"):
                     raw = bytes(int(x, 16) for x in re.findall(r"[0-9A-Fa-f]{2}", m.group()))
-                    if inflate(raw, 64) is not None:
+                    if opener(raw[:6]):
                         step = skip + 2
                         at = m.start() + np.arange(len(raw)) * step
-                        if child := self.opened_bytes(raw, layer.low[at], layer.high[at + step - 1]):
-                            yield child
+                        if inner := innermost(Feed([raw]), max(INFLATED >> 6, 1)):
+                            yield from self.windows(inner, layer.low[at].min(), layer.high[at + step - 1].max())
+
+    def begins_text(self, layer: Layer, at: np.ndarray) -> bool:
+        digits = "".join([layer.text[i] for i in at[: len(at) // 4 * 4]]).replace("-", "+").replace("_", "/")
+        raw = base64.b64decode(digits)
+        return bool(opener(raw[:6])) or as_text(raw[: len(raw) - 4])[2]
 
     def rewritten(self, layer: Layer):
         """The layer with its percent escapes, and with its Unicode escapes, replaced."""
@@ -225,8 +345,8 @@ def find_secrets(df: DataFrame, text: str = "text", keep: tuple = ("doc_id",)) -
     """Add `base_spans` (as the text stands), `spans` (all layers), `layers` and `unread` to `keep`.
 
     Positions are code points, ends exclusive, ordered by start, then kind. A null text is empty
-    and has no span; repeated rows repeat; other columns are not read. `unread` counts layers over
-    the inflation bound.
+    and has no span; repeated rows repeat; other columns are not read. `unread` counts inflated
+    layers with a run too long for one window, which is read in parts.
     """
 
     def named(spans):

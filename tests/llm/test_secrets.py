@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import zlib
@@ -126,3 +127,23 @@ def test_query_equals_brute_force(spark):
         text = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in want)
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == i for _, k, _ in want) for i in range(3))
+
+
+@pytest.mark.parametrize("text", [
+    b64(b"password = abcdefghijklmnop012345 and more text ") + "\nThe rest",
+    "https://h.example/get/" + b64(b"password=abcdefghijklmnop."),
+    "key-" + b64(b"password=abcdefghijklmnop."),
+    "a/b-c_" + b64(gzip.compress(b"password=abcdefghijklmnop")),
+    b64(b"\x01\x02 password=abcdefghijklmnop \xff."),
+])
+def test_runs_that_are_not_text_as_a_whole(text):
+    assert [k for _, k, _ in Unwrapping(text).spans] == [0]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_every_member_and_all_of_a_large_layer_is_read(monkeypatch, pack):
+    secret = b" password=abcdefghijklmnop "
+    assert [k for _, k, _ in Unwrapping(b64(pack(b"first ") + pack(secret))).spans] == [0]
+    monkeypatch.setattr(secrets, "INFLATED", 1 << 16)
+    u = Unwrapping(b64(pack(pack(b"some words " * 50_000 + secret + b"and more " * 50_000))))
+    assert [k for _, k, _ in u.spans] == [0] and u.unread == 0
