@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 from skywell.llm.common import fresh, held_out, mapped, query, sampled, small_batches, table, written
 
 UNDETERMINED = "und"
-LETTERS = 63  # characters told apart; all others share code 0
-BITS = 6
-SIZES = tuple(1 << (BITS * n) for n in (1, 2, 3))
-STARTS = np.concatenate(([0], np.cumsum(SIZES))).astype(np.int64)
+BITS = 21  # of a code point plus one, so codes of longer n-grams are larger
+SIZES = (1, 2, 3)
+STARTS = np.array([0, 1 << BITS, 1 << 2 * BITS, (1 << 3 * BITS) - 1], np.int64)
+COLUMNS = 1 << 13  # n-grams of a dense block
 
 
 def points(text: str) -> np.ndarray:
@@ -30,25 +30,19 @@ def points(text: str) -> np.ndarray:
 
 
 class Grams:
-    """Distinct n-grams of texts as increasing codes, over a fixed set of characters."""
+    """Distinct n-grams of texts as increasing codes; all characters, or `letters` alone with the others as one, are told apart."""
 
-    def __init__(self, letters: list[int]):
-        self.of = np.zeros(0x110000, np.uint8)
-        for i, c in enumerate(letters[:LETTERS]):
-            self.of[c] = i + 1
-        self.seen = np.zeros(int(STARTS[-1]), np.bool_)
+    def __init__(self, letters: list[int] | None = None):
+        self.letters = None if letters is None else np.unique(np.array(letters, np.int64))
 
     def __call__(self, text: str) -> np.ndarray:
-        ids = self.of[points(text)].astype(np.int32)
+        ids = points(text).astype(np.int64)
+        if self.letters is not None:
+            ids[~np.isin(ids, self.letters)] = -1
+        ids += 1 + (self.letters is not None)
         two = (ids[:-1] << BITS) | ids[1:]
         three = (two[:-1] << BITS) | ids[2:]
-        seen = self.seen
-        seen[ids] = True
-        seen[two + int(STARTS[1])] = True
-        seen[three + int(STARTS[2])] = True
-        found = np.flatnonzero(seen)
-        seen[found] = False
-        return found
+        return np.unique(np.concatenate((ids, two, three)))
 
 
 def sizes_of(codes: np.ndarray) -> np.ndarray:
@@ -58,8 +52,9 @@ def sizes_of(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    letters: list[int]
+    letters: list[int] | None
     languages: list[str]
+    codes: np.ndarray  # of the landmarks' n-grams, increasing
     weights: np.ndarray  # n-gram x language
     bias: np.ndarray
     sharpness: float
@@ -73,8 +68,12 @@ class LanguageModel:
         which = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         sizes = np.stack([sizes_of(g) for g in grams])
         scale = 1.0 / np.sqrt(sizes)[which, np.searchsorted(STARTS, codes, "right") - 1]
+        at = np.searchsorted(self.codes, codes)
+        known = at < len(self.codes)
+        known[known] = self.codes[at[known]] == codes[known]
+        at, which, scale = at[known], which[known], scale[known]
         for j in range(out.shape[1]):  # a sparse product, a language at a time
-            out[:, j] += np.bincount(which, self.weights[codes, j] * scale, len(grams))
+            out[:, j] += np.bincount(which, self.weights[at, j] * scale, len(grams))
         e = np.exp(self.sharpness * (out - out.max(axis=1, keepdims=True)))
         return e / e.sum(axis=1, keepdims=True)
 
@@ -83,8 +82,7 @@ def kernel(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     """The blended presence kernel between two lists of n-gram sets, as matrix products."""
     used = np.unique(np.concatenate(b)) if b else np.zeros(0, np.int64)
 
-    def dense(sets, part):
-        keep = used[(used >= STARTS[part]) & (used < STARTS[part + 1])]
+    def dense(sets, keep):
         m = np.zeros((len(sets), len(keep)), np.float32)
         for i, g in enumerate(sets):
             at = np.searchsorted(keep, g)
@@ -94,14 +92,19 @@ def kernel(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
         return m
 
     sa, sb = (np.stack([sizes_of(g) for g in s]) for s in (a, b))
-    return sum((dense(a, p) @ dense(b, p).T) / np.sqrt(np.outer(sa[:, p], sb[:, p])) for p in range(len(SIZES)))
+    out = np.zeros((len(a), len(b)))
+    for p in range(len(SIZES)):
+        keep = used[(used >= STARTS[p]) & (used < STARTS[p + 1])]
+        blocks = [keep[i : i + COLUMNS] for i in range(0, len(keep), COLUMNS)]
+        out += sum(dense(a, k) @ dense(b, k).T for k in blocks) / np.sqrt(np.outer(sa[:, p], sb[:, p]))
+    return out
 
 
 def fit(letters, languages: list[str], grams: list[np.ndarray], landmarks: int, ridge: float) -> LanguageModel:
     """Kernel ridge regression, one language against the rest, on evenly spread landmarks."""
     names = sorted(set(languages))
     if not names:
-        return LanguageModel(letters, [], np.zeros((int(STARTS[-1]), 0)), np.zeros(0), 1.0)
+        return LanguageModel(letters, [], np.zeros(0, np.int64), np.zeros((0, 0)), np.zeros(0), 1.0)
     y = np.array([[1.0 if x == n else 0.0 for n in names] for x in languages])
     by_language = [[i for i, x in enumerate(languages) if x == n] for n in names]
     chosen = [i for rows in by_language for i in rows[: max(1, landmarks // len(names))]]
@@ -112,11 +115,12 @@ def fit(letters, languages: list[str], grams: list[np.ndarray], landmarks: int,
     bias = np.full(len(names), 1.0 / len(names))
     left = k_nm.T @ (k_nm * weight[:, None]) + ridge * k_mm + 1e-8 * np.eye(len(chosen))
     alpha = np.linalg.solve(left, k_nm.T @ ((y - bias) * weight[:, None]))
-    folded = np.zeros((int(STARTS[-1]), len(names)))
+    codes = np.unique(np.concatenate(marks))
+    folded = np.zeros((len(codes), len(names)))
     for g, a in zip(marks, alpha):
         scale = 1.0 / np.sqrt(sizes_of(g))
-        folded[g] += scale[np.searchsorted(STARTS, g, "right") - 1][:, None] * a
-    return LanguageModel(letters, names, folded, bias, 8.0)
+        folded[np.searchsorted(codes, g)] += scale[np.searchsorted(STARTS, g, "right") - 1][:, None] * a
+    return LanguageModel(letters, names, codes, folded, bias, 8.0)
 
 
 def learn_language_model(
@@ -126,7 +130,7 @@ def learn_language_model(
     """Fit on about `per_language` rows of each language, chosen by a hash of the key.
 
     The sample bound is `per_language`; rows with a null text or language are not learnt from.
-    Only n-gram sets (at most 270,000 small numbers each) come to the driver, no texts. Without a
+    Only n-gram sets (at most three numbers a character each) come to the driver, no texts. Without a
     labelled row the model knows no language and every text is undetermined.
     """
     spark = labelled.sparkSession
@@ -140,32 +144,17 @@ def learn_language_model(
         keep = keep | ((F.col("l") == name) & sampled(F.col("k"), n, per_language, seed))
     chosen = written(rows.filter(keep))
 
-    def characters(batches):
-        counts = np.zeros(0x110000, np.int64)
-        for b in batches:
-            parts = [points(t) for t in b.column("t").to_pylist()]
-            if parts:
-                counts += np.bincount(np.concatenate(parts), minlength=0x110000)
-        c = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(counts[c])], ["c", "n"])
-
-    top = (
-        chosen.select("t").mapInArrow(characters, "c long, n long").groupBy("c").agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "c").limit(LETTERS).collect()
-    )
-    letters = [r.c for r in top]
-
     def sets(batches):
-        grams = Grams(letters)
+        grams = Grams()
         for b in batches:
-            found = [grams(t).astype(np.int32) for t in b.column("t").to_pylist()]
+            found = [grams(t) for t in b.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("k").cast(pa.string()), b.column("l"), pa.array([g.tobytes() for g in found], pa.binary())],
                 ["k", "l", "g"],
             )
 
     got = sorted((r.l, r.k or "", bytes(r.g)) for r in chosen.mapInArrow(sets, "k string, l string, g binary").collect())
-    return fit(letters, [r[0] for r in got], [np.frombuffer(r[2], np.int32).astype(np.int64) for r in got], landmarks, ridge)
+    return fit(None, [r[0] for r in got], [np.frombuffer(r[2], np.int64) for r in got], landmarks, ridge)
 
 
 def identify_languages(df: DataFrame, model: LanguageModel, text: str = "text", keep: tuple = ("doc_id",)) -> DataFrame:
@@ -175,7 +164,7 @@ def identify_languages(df: DataFrame, model: LanguageModel, text: str = "text",
     without languages; repeated rows repeat; other columns are not read. Where `keep` has one of the
     new names, the new column's gets a `_` before it.
     """
-    sent = df.sparkSession.sparkContext.broadcast(model)  # n-grams x languages: a fixed size per language
+    sent = df.sparkSession.sparkContext.broadcast(model)  # n-grams of the landmarks x languages
 
     def predict(texts):
         m = sent.value

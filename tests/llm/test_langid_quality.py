@@ -76,3 +76,19 @@ def test_quality_rows(spark):
     unlearnt = quality.learn_quality(df, labels.limit(0))
     assert {r.score for r in quality.score_quality(df, unlearnt).collect()} == {0.5}
     assert quality.score_quality(df.limit(0), unlearnt).count() == 0
+
+
+def test_small_languages_of_other_scripts(spark):
+    """A frequent language with many letters leaves none of the others' characters out."""
+    r = np.random.default_rng(3)
+
+    def words(letters, n):
+        return " ".join("".join(r.choice(letters, 5)) for _ in range(n))
+
+    scripts = {"xx": [chr(0x100 + 2 * i + 1) for i in range(60)] + list("abcdefgh"), "el": list("αβγδεζηθικλμνξ"), "he": list("אבגדהוזחטיכלמנ"), "th": list("กขคงจฉชซ")}
+    rows = [(i, lang, words(scripts[lang], 200 if lang == "xx" else 4)) for lang in scripts for i in range(40)]
+    df = spark.createDataFrame([(1000 * k + i, t, lang) for k, (i, lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = learn_language_model(df.filter("doc_id % 1000 < 30"))
+    truth = {1000 * k + i: lang for k, (i, lang, _) in enumerate(rows)}
+    got = {x.doc_id: x.lang_pred for x in identify_languages(df, model).collect()}
+    assert got == truth
