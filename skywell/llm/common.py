@@ -78,19 +78,29 @@ def mapped(df: DataFrame, text: str, keep, out: str, function) -> DataFrame:
     return rows.mapInArrow(apply, f"{fields}, {out}" if fields else out)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """`df`, written once as Parquet to the shared checkpoint folder and read back from there.
+def written(df: DataFrame, *by: str) -> DataFrame:
+    """`df`, written once as Parquet to the shared checkpoint folder and read back from there, in folders by the columns `by`.
 
     Later passes read the files, whatever happens to the executors that wrote them. The files go
-    when the session's file system is closed.
+    with `discard`, or when the session's file system is closed.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/skywell-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
+    df.write.partitionBy(*by).parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete the files of a written table after its last reader is done."""
+    path = getattr(df, "written_to", None) if df is not None else None
+    if path is not None:
+        spark = df.sparkSession
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def release(spark: SparkSession) -> None:
