@@ -6,8 +6,10 @@ without its first word) have reached the threshold, in whatever shard the cycle
 counted for one full cycle, so its count is that of all texts. Lengths are interleaved: a scan
 counts words, pairs and triples at once. Scans end when no phrase is active.
 
-A scan sends what it counted, one row per phrase and block of text. Bit sets of fixed size tell a block which
-phrases may be active; they only save rows, as the true start of each phrase is looked up by a join.
+What has reached the threshold is kept in one bit set of fixed size for each length, and each scan gets those of the
+last cycle's steps. A phrase is active from the first step whose bit set holds both subphrases; as bits are only
+ever added, every scan finds the same step for it, and takes part in its cycle or not. A bit set may hold a subphrase that has not
+reached the threshold; the phrase is then counted in vain, for it can't reach it either.
 """
 
 from collections.abc import Iterator
@@ -19,15 +21,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from skywell.llm.common import BATCH_ROWS, discard, mixed, query, small_batches, table, written
 
-SHARDS = 3
+SHARDS = 2
 LEAST = 10  # occurrences of a candidate
 LONGEST = 3  # words of a candidate
 COVERED = 50  # per cent of a phrase's occurrences that a longer candidate must hold to replace it
 TOP = 2000
-BLOCK = 8 << 20  # bytes of text counted together
+BLOCK = 6 << 20  # bytes of text counted together
 BITS = 1 << 26  # of a bit set, at most: 8 MB
+SLICES = 64  # in which a bit set is put together
 PROBES = 4
-SENT = 32 << 20  # bytes of words and counts that may be sent to every task
 STOPS = b".,;:!?\x0a\x0b\x0c\x0d"  # fixed values: what separates pieces, and words
 BLANKS = b" \t"
 
@@ -109,13 +111,23 @@ def probes(h: np.ndarray, bits: int):
 
 
 def may_hold(held: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Whether each hash may be in the bit set: no for certain, yes for all that are in it."""
+    """Whether each hash may be in the bit set: yes for all that are in it."""
     out = np.ones(len(h), np.bool_)
     for at in probes(h, 8 * len(held)):
         out &= (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
     return out
 
 
+def first_held(sets: list, h: np.ndarray) -> np.ndarray:
+    """The number of the first of the growing bit sets that holds each hash; that of all sets if none does."""
+    out = np.full(len(h), len(sets), np.int8)
+    left = np.arange(len(h))
+    for i in range(len(sets) - 1, -1, -1):
+        left = left[may_hold(sets[i], h[left])]
+        out[left] = i
+    return out
+
+
 class Block:
     """Counts of the phrases of some texts: `(language, words in the phrase, phrase, count)`."""
 
@@ -136,41 +148,43 @@ class Block:
         """Positions at which a phrase of `n` words starts."""
         return np.flatnonzero(self.piece[: len(self.piece) - n + 1] == self.piece[n - 1 :])
 
-    def rows(self, n: int, starts: np.ndarray) -> pa.RecordBatch:
-        """The phrases of `n` words at `starts`, each once, with its count."""
-        ids, first = self.at[starts], starts
+    def rows(self, n: int, starts: np.ndarray, since: np.ndarray) -> pa.RecordBatch:
+        """The phrases of `n` words at `starts`, each once, with its count and the step it is active from."""
+        ids = self.at[starts]
         for k in range(1, n):
             _, ids = np.unique(ids * len(self.kinds) + self.at[starts + k], return_inverse=True)
         _, first, ids = np.unique(ids, return_index=True, return_inverse=True)
         count = np.bincount(ids, self.weight[starts], len(first)).astype(np.int64)
-        first = starts[first]
+        since, first = since[first], starts[first]
         spelled = [self.words.take(pa.array(self.word[self.at[first + k]])) for k in range(n)]
         phrase = pc.binary_join_element_wise(*spelled, b" ") if n > 1 else spelled[0]
         language = self.languages.take(pa.array(self.language[self.at[first]]))
         kept = pa.array(count != 0)
-        made = [language.cast(pa.string()), pa.array(np.full(len(first), n, np.int32)), phrase.cast(pa.string()), pa.array(count)]
-        return pa.RecordBatch.from_arrays([c.filter(kept) for c in made], ["lang", "n_words", "phrase", "c"])
+        made = [language.cast(pa.string()), pa.array(np.full(len(first), n, np.int32)), phrase.cast(pa.string()), pa.array(count), pa.array(since.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([c.filter(kept) for c in made], ["lang", "n_words", "phrase", "c", "start"])
 
-    def counted(self, words: bool, sets: dict):
-        """What is counted here: words where they are asked for, longer phrases that may be active.
+    def counted(self, words: bool, sets: dict, step: int, shards: int):
+        """What is counted in this step: words where they are asked for, and the longer phrases that are active.
 
-        `sets` has for a length the subphrases that are known and those that became so within the last cycle.
+        `sets` has for a length the bit sets of subphrases, of this step and of those before, as far back as a cycle.
         """
         if words and len(self.at):
-            yield self.rows(1, np.arange(len(self.at)))
-        h, starts = self.hash[self.at], np.arange(len(self.at))
+            yield self.rows(1, np.arange(len(self.at)), np.zeros(len(self.at), np.int32))
+        starts = np.arange(len(self.at))
         for n in range(2, max(sets, default=1) + 1):
             at = self.follow(n)
             if n in sets:
-                there, late = np.zeros((2, len(self.at)), np.bool_)
-                there[starts], late[starts] = (may_hold(s, h) for s in sets[n])
-                now = at[there[at] & there[at + 1] & (late[at] | late[at + 1])]
-                if len(now):
-                    yield self.rows(n, now)
+                held, oldest = sets[n], step - len(sets[n]) + 1
+                seen = np.full(len(self.at), len(held), np.int8)
+                seen[starts] = first_held(held, self.hash)[self.at] if n == 2 else first_held(held, h)
+                since = np.maximum(seen[at], seen[at + 1]).astype(np.int32)
+                now = (since < len(held)) & (since + oldest > step - shards)
+                if now.any():
+                    yield self.rows(n, at[now], since[now] + oldest)
             whole = np.zeros(len(self.at), np.uint64)
-            whole[starts] = h
-            starts = at
+            whole[starts] = self.hash[self.at] if n == 2 else h
             h = joined(whole[at], self.hash[self.at[at + n - 1]])
+            starts = at
 
 
 def phrase_hashes(languages: pa.Array, phrases: pa.Array) -> np.ndarray:
@@ -188,54 +202,51 @@ def phrase_hashes(languages: pa.Array, phrases: pa.Array) -> np.ndarray:
     return out
 
 
-def bit_sets(members: DataFrame, sizes: dict) -> dict:
-    """Bit sets by `name` of the phrases `members` (`name`, `lang`, `phrase`), each with at most `BITS` bits.
+def bit_sets(phrases: DataFrame, bits: int) -> dict:
+    """Bit sets of `bits` bits of the phrases `n_words`, `lang`, `phrase`, by number of words.
 
-    Tasks send the places of the bits; places are put together by slices of a set, and only the sets come here.
+    Each task sends the places of its bits once, by slices of a set; slices are put together by their own
+    tasks, and only the sets come here.
     """
-    bits = {k: min(BITS, 1 << max(16, int(16 * max(n, 1)).bit_length())) for k, n in sizes.items()}
-    slice_bits = 1 << 16
+    size = bits // SLICES
 
     def spread(batches):
+        found: dict = {}
         for b in batches:
-            h = phrase_hashes(b.column(1).cast(pa.binary()), b.column(2).cast(pa.binary()))
-            names = np.array(b.column(0).to_pylist(), object)
-            for name in dict.fromkeys(names.tolist()):
-                at = np.unique(np.concatenate(list(probes(h[names == name], bits[name]))).astype(np.int64))
-                part, starts = np.unique(at // slice_bits, return_index=True)
-                cut = np.split((at % slice_bits).astype("<u2"), starts[1:])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(part)), pa.array(part), pa.array([x.tobytes() for x in cut], pa.binary())], ["name", "part", "at"]
-                )
+            h, n = phrase_hashes(b.column(1).cast(pa.binary()), b.column(2).cast(pa.binary())), b.column(0).to_numpy()
+            for k in np.unique(n).tolist():
+                found.setdefault(k, []).append(np.concatenate(list(probes(h[n == k], bits))).astype("<u4"))
+        for k, at in found.items():
+            at = np.unique(np.concatenate(at))
+            part, starts = np.unique(at // size, return_index=True)
+            cut = [pa.scalar((x % size).tobytes(), pa.binary()) for x in np.split(at, starts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(part), pa.int32()), pa.array(part.astype(np.int32)), pa.array(cut)], ["n_words", "part", "at"])
 
     def put(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = np.zeros(slice_bits, np.bool_)
+        made = np.zeros(size, np.bool_)
         for b in batches:
             for x in b.column("at").to_pylist():
-                made[np.frombuffer(x, "<u2")] = True
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()]), pa.array([key[1].as_py()]), pa.array([np.packbits(made, bitorder="little").tobytes()], pa.binary())],
-            ["name", "part", "bits"],
-        )
-
-    slices = members.mapInArrow(spread, "name string, part long, at binary").groupBy("name", "part").applyInArrow(
-        put, "name string, part long, bits binary"
-    )
-    out = {k: np.zeros(n // 8, np.uint8) for k, n in bits.items()}
-    for r in slices.collect():
-        out[r["name"]][r.part * (slice_bits // 8) : (r.part + 1) * (slice_bits // 8)] = np.frombuffer(r.bits, np.uint8)
+                made[np.frombuffer(x, "<u4")] = True
+        packed = pa.array([np.packbits(made, bitorder="little").tobytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*(pa.array([k.as_py()], pa.int32()) for k in key), packed], ["n_words", "part", "bits"])
+
+    places = phrases.select("n_words", "lang", "phrase").mapInArrow(spread, "n_words int, part int, at binary")
+    out: dict = {}
+    for r in places.groupBy("n_words", "part").applyInArrow(put, "n_words int, part int, bits binary").collect():
+        held = out.setdefault(r.n_words, np.zeros(bits // 8, np.uint8))
+        held[r.part * (size // 8) : (r.part + 1) * (size // 8)] = np.frombuffer(r.bits, np.uint8)
     return out
 
 
-def scanned(shard: DataFrame, words: bool, sent, block: int, longest: int) -> DataFrame:
-    """`lang`, `n_words`, `phrase`, `c` of one scan of a shard, one row per phrase and block of text."""
+def scanned(shard: DataFrame, step: int, shards: int, sent, block: int, longest: int) -> DataFrame:
+    """`lang`, `n_words`, `phrase`, `c`, `start` of one scan of a shard, one row per phrase and block of text."""
 
     def scan(batches):
         held, size = [], 0
 
         def flush():
             yield from Block(pa.array([x[0] for x in held], pa.binary()), pa.array([x[1] for x in held], pa.binary()),
-                             np.array([x[2] for x in held], np.int64)).counted(words, sent.value)
+                             np.array([x[2] for x in held], np.int64)).counted(step < shards, sent.value, step, shards)
 
         for b in batches:
             for text, language in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(0).cast(pa.binary()).to_pylist()):
@@ -248,13 +259,7 @@ def scanned(shard: DataFrame, words: bool, sent, block: int, longest: int) -> Da
         if held:
             yield from flush()
 
-    return shard.mapInArrow(scan, "lang string, n_words int, phrase string, c long")
-
-
-def sent_if_small(words: DataFrame) -> DataFrame:
-    """Written phrases, marked for broadcast when their bytes are few; else Spark shuffles both sides."""
-    size = words.agg(F.sum(F.octet_length("phrase") + 64)).first()[0] or 0
-    return F.broadcast(words) if size <= SENT else words
+    return shard.mapInArrow(scan, "lang string, n_words int, phrase string, c long, start int")
 
 
 def phrase_counts(
@@ -270,103 +275,44 @@ def phrase_counts(
     small_batches(spark, BATCH_ROWS)
     rows = df.select(F.coalesce(F.col(f"`{language}`"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     corpus = written(rows.withColumn("shard", F.monotonically_increasing_id() % shards), "shard")
-    open_ = {n: None for n in range(1, longest + 1)}  # phrases that are being counted
-    done = {n: [] for n in range(1, longest + 1)}  # tables of those that were for a cycle, and occur often enough
+    size = corpus.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(BITS, 1 << max(16, int(size // 16).bit_length()))  # a known phrase takes some ten words, about sixty bytes, at least
+    still, done = None, []  # phrases that are being counted; those that were for a cycle, and occur often enough
+    sets: dict = {n: [np.zeros(bits // 8, np.uint8)] for n in range(2, longest + 1)}  # by step, as far back as a cycle
     step = 0
     while True:
-        reached = {n: [t.filter("reached is not null").select("lang", "phrase", "reached") for t in [open_[n], *done[n]] if t is not None]
-                   for n in range(1, longest)}
-        sets = subphrases(spark, reached, step, shards)
-        if step >= shards and not sets:
+        # a length whose bit set is that of a cycle ago has no active phrase
+        active = {n: s for n, s in sets.items() if len(s) <= shards or not np.array_equal(s[0], s[-1])} if step else {}
+        if step >= shards and not active:
             break
-        sent = spark.sparkContext.broadcast(sets)
-        shard = corpus.filter(F.col("shard") == step % shards).select("lang", "text")
-        found = scanned(shard, step < shards, sent, block, longest)
-        for c in ("start", "reached"):
-            found = found.withColumn(c, F.lit(None).cast("int"))
-        for n, t in open_.items():
-            if t is not None:
-                found = found.unionByName(t.withColumn("n_words", F.lit(n)))
-        sums = found.groupBy("n_words", "lang", "phrase").agg(*[f(c).alias(c) for c, f in (("c", F.sum), ("start", F.min), ("reached", F.min))])
-        sums = written(sums)
-        gone = [sums]
-        for n in range(1, longest + 1):
-            rows = sums.filter(F.col("n_words") == n).drop("n_words")
-            if n == 1 and step < shards:
-                rows = rows.withColumn("start", F.lit(0))
-            elif n in sets:
-                rows = started(rows, reached[n - 1], step, shards)
-            else:
-                continue
-            ended = F.col("start") + shards - 1 <= step
-            rows = rows.withColumn("reached", F.coalesce("reached", F.when(F.col("c") >= least, step)))
-            rows = written(rows if n == 1 else rows.filter(~ended | (F.col("c") >= least)))
-            gone.append(open_[n])
-            if step < shards - (n == 1):  # none can have had a whole cycle
-                open_[n] = rows
-            else:
-                done[n].append(rows.filter(ended))
-                open_[n] = None if n == 1 else rows.filter(~ended)
-        for t in gone:
-            discard(t)
+        sent = spark.sparkContext.broadcast(active)
+        found = scanned(corpus.filter(F.col("shard") == step % shards).select("lang", "text"), step, shards, sent, block, longest)
+        if still is not None:
+            found = found.unionByName(still)
+        # few rows are equal before they are shuffled: a block sends each phrase once
+        sums = found.repartition("lang", "phrase").groupBy("lang", "n_words", "phrase").agg(F.sum("c").alias("c"), F.min("start").alias("start"))
+        ended = F.col("start") + shards - 1 <= step
+        rows = written(sums.filter(~ended | (F.col("c") >= least) | (F.col("n_words") == 1)))
+        known = bit_sets(rows.filter((F.col("c") >= least) & (F.col("n_words") < longest)), bits)
+        for n, s in sets.items():
+            s.append(s[-1] | known[n - 1] if n - 1 in known else s[-1])
+            del s[: -shards - 1]
+        discard(still)
         sent.destroy()
+        done.append(rows.filter(ended))
+        still = rows if step < shards - 1 else rows.filter(~ended)
         step += 1
     discard(corpus)
-    empty = spark.createDataFrame([], "lang string, phrase string, c long")
     out = []
     for n in range(1, longest + 1):
-        tables = [t.select("lang", "phrase", "c") for t in done[n]]
-        whole = tables[0] if tables else empty
+        tables = [t.filter(F.col("n_words") == n).select("lang", "phrase", "c") for t in done[shards - 1 :]]
+        whole = tables[0]
         for t in tables[1:]:
             whole = whole.unionByName(t)
         out.append(whole)
     return out
 
 
-def subphrases(spark, reached: dict, step: int, shards: int) -> dict:
-    """The bit sets for phrases one word longer than `reached`: subphrases known, and those within the last cycle.
-
-    A length is left out where no subphrase became known in the last cycle: none of its phrases is active.
-    """
-    sizes, members = {}, None
-    for n, tables in reached.items():
-        known = None
-        for t in tables:
-            known = t if known is None else known.unionByName(t)
-        if known is None:
-            continue
-        late = F.col("reached") >= step - shards
-        got = known.agg(F.count("*"), F.count_if(late)).first()
-        if not got[1]:
-            continue
-        sizes |= {f"known {n + 1}": got[0], f"recent {n + 1}": got[1]}
-        for name, rows in (("known", known), ("recent", known.filter(late))):
-            rows = rows.select(F.lit(f"{name} {n + 1}").alias("name"), "lang", "phrase")
-            members = rows if members is None else members.unionByName(rows)
-    if members is None:
-        return {}
-    made = bit_sets(members, sizes)
-    lengths = [n + 1 for n in reached if f"known {n + 1}" in sizes]
-    return {n: (made[f"known {n}"], made[f"recent {n}"]) for n in lengths}
-
-
-def started(sums: DataFrame, reached: list, step: int, shards: int) -> DataFrame:
-    """The phrases that are active in this step, each with the step its count starts in: the one after both subphrases are known."""
-    known = reached[0]
-    for t in reached[1:]:
-        known = known.unionByName(t)
-    known = sent_if_small(known)
-    head = F.expr("substring(phrase, 1, char_length(phrase) - char_length(substring_index(phrase, ' ', -1)) - 1)")
-    tail = F.expr("substring(phrase, char_length(substring_index(phrase, ' ', 1)) + 2)")
-    new = sums.filter("start is null").withColumn("head", head).withColumn("tail", tail).drop("start")
-    first = known.select("lang", F.col("phrase").alias("head"), F.col("reached").alias("a"))
-    last = known.select("lang", F.col("phrase").alias("tail"), F.col("reached").alias("b"))
-    begin = F.greatest("a", "b") + 1
-    new = new.join(first, ["lang", "head"]).join(last, ["lang", "tail"]).withColumn("start", begin)
-    new = new.filter((F.col("start") <= step) & (F.col("start") + shards > step))
-    return sums.filter("start is not null").unionByName(new.select("lang", "phrase", "c", "start", "reached"))
-
-
 def collocations(
     df: DataFrame, text: str = "text", language: str = "lang", least: int = LEAST, longest: int = LONGEST, covered: int = COVERED,
     top: int | None = TOP, shards: int = SHARDS, block: int = BLOCK,
