@@ -106,12 +106,34 @@ def quality_distribution(df: DataFrame, by=()) -> DataFrame:
     return df.groupBy(*by).agg(*[c.alias(n) for n, c in _distribution(F.col("quality_score")).items()])
 
 
+def verdict(scored, rules=VALID_RANGES) -> list[Column]:
+    """E6 as aggregates: counts of records and violations, completeness over the columns `scored`, mean score and its classes."""
+    missing = _sum([count_where(F.col(c).isNull()) for c in scored])
+    cells = F.count("*") * len(scored)
+    score = F.col("quality_score")
+    return [
+        F.count("*").alias("total_records"),
+        count_where(score >= 0.7).alias("valid_records"),
+        _sum(
+            [count_where(F.col(c) < low) + count_where(F.col(c) > high) for c, (low, high) in rules.items()]
+        ).alias("range_violations"),
+        _sum([(count_where(test()) > 0).cast("int") for _, test in CONSISTENCY.values()]).cast("bigint")
+        .alias("consistency_violations"),
+        F.when(F.count("*") > 0, (cells - missing) / cells).otherwise(0.0).alias("completeness_score"),
+        F.coalesce(F.avg(score), F.lit(0.0)).alias("average_quality_score"),
+        *[c.alias(n) for n, c in _distribution(score).items()],
+    ]
+
+
+def scored_columns(df: DataFrame, ignore=()) -> list[str]:
+    return [c for c in df.columns if c not in [*ignore, "quality_score"]]
+
+
 def validate(df: DataFrame, by=(), ignore=(), rules=VALID_RANGES) -> DataFrame:
     """One verdict row per group from one aggregation; an empty table gives zeros.
 
     `df` must carry `quality_score`; completeness covers the columns that were scored.
     """
-    scored = [c for c in df.columns if c not in [*by, *ignore, "quality_score"]]
     violations = F.struct(
         *[
             F.struct(
@@ -123,19 +145,4 @@ def validate(df: DataFrame, by=(), ignore=(), rules=VALID_RANGES) -> DataFrame:
             for c, (low, high) in rules.items()
         ]
     )
-    missing = _sum([count_where(F.col(c).isNull()) for c in scored])
-    cells = F.count("*") * len(scored)
-    score = F.col("quality_score")
-    return df.groupBy(*by).agg(
-        F.count("*").alias("total_records"),
-        count_where(score >= 0.7).alias("valid_records"),
-        _sum(
-            [count_where(F.col(c) < low) + count_where(F.col(c) > high) for c, (low, high) in rules.items()]
-        ).alias("range_violations"),
-        _sum([(count_where(test()) > 0).cast("int") for _, test in CONSISTENCY.values()]).cast("bigint")
-        .alias("consistency_violations"),
-        F.when(F.count("*") > 0, (cells - missing) / cells).otherwise(0.0).alias("completeness_score"),
-        F.coalesce(F.avg(score), F.lit(0.0)).alias("average_quality_score"),
-        *[c.alias(n) for n, c in _distribution(score).items()],
-        violations.alias("range_details"),
-    )
+    return df.groupBy(*by).agg(*verdict(scored_columns(df, [*by, *ignore]), rules), violations.alias("range_details"))

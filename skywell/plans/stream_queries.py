@@ -10,7 +10,7 @@ from skywell.plans import clean_queries, ctes, explore_queries, fixtures
 from skywell.plans.registry import final, query, rounded
 from skywell.schema import POLLUTANTS, SENSOR_HEADERS, SENSORS
 from skywell.session import checkpoint_dir
-from skywell.sources.files import export_csv, load_table, read_sensor_csv
+from skywell.sources.files import export_csv, load_table, read_batch, read_sensor_csv
 from skywell.sources.messages import decode, keyed, read_messages, to_messages
 from skywell.streaming.ingest import read_ingested, run_ingest
 from skywell.streaming.live import run_live_analytics, tail_clean
@@ -37,7 +37,7 @@ def ingested(spark, sf_dir) -> str:
     files, per_batch = files_of(raw)
     keyed(raw, keep=["date"]).repartition(files, "date").drop("date").write.json(f"{base}/topic")
     messages = read_messages(spark, "json", f"{base}/topic", maxFilesPerTrigger=per_batch)
-    run_ingest(messages, f"{base}/out", f"{base}/offsets", scope=DAY_SCOPE, widths=()).awaitTermination()
+    run_ingest(messages, f"{base}/out", f"{base}/offsets", scope=DAY_SCOPE).awaitTermination()
     return f"{base}/out"
 
 
@@ -110,9 +110,9 @@ def live_output(spark, sf_dir) -> tuple[str, int]:
 
 
 def latest(spark, sf_dir, table: str) -> DataFrame:
-    out, _ = live_output(spark, sf_dir)
-    rows = spark.read.parquet(f"{out}/{table}")
-    return rows.filter(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id")
+    """What the job's last batch left, which may be no row."""
+    out, last = live_output(spark, sf_dir)
+    return read_batch(spark, f"{out}/{table}", last).drop("batch_id")
 
 
 @query(

@@ -32,12 +32,17 @@ def with_event_time(df: DataFrame) -> DataFrame:
 
 
 def write_by_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Replace one batch's folder, so a repeated batch leaves the table unchanged."""
-    (
-        df.drop("batch_id").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite").partitionBy("batch_id")
-        .option("partitionOverwriteMode", "dynamic").parquet(path)
-    )
+    """Replace one batch's folder, so a repeated batch leaves the table unchanged.
+
+    A batch without rows leaves a folder that holds the schema.
+    """
+    df.drop("batch_id").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def read_batch(spark: SparkSession, path: str, batch_id: int, schema=None) -> DataFrame:
+    """One batch's rows of a table with their `batch_id`; the folders of other batches are not listed."""
+    rows = (spark.read if schema is None else spark.read.schema(schema)).parquet(f"{path}/batch_id={batch_id}")
+    return rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
 def append_json(df: DataFrame, path: str) -> None:

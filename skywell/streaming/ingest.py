@@ -1,18 +1,26 @@
-"""The ingest stream: messages to clean, excluded and metrics tables."""
+"""The ingest stream: messages to clean, excluded, metrics and error tables."""
 
+import datetime
+import json
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from skywell.operators.clean import flatten_messages
-from skywell.operators.metrics import alerts, batch_metrics
+from skywell.operators.metrics import alerts
 from skywell.operators.ordered import fitted_widths
+from skywell.operators.quality import scored_columns, verdict
 from skywell.plans.pipeline import process_batch
 from skywell.schema import FLAT_COLUMNS
 from skywell.sources.files import append_json, write_by_batch
 
 TIE = "_tie"
+METRICS = (
+    "batch_id bigint, messages bigint, seconds double, batch_time timestamp, total_records bigint, valid_records bigint, "
+    "range_violations bigint, consistency_violations bigint, completeness_score double, average_quality_score double, "
+    "excellent bigint, good bigint, fair bigint, poor bigint"
+)
 
 
 def ingest_batch(
@@ -20,47 +28,60 @@ def ingest_batch(
 ) -> None:
     """One micro-batch. Every output is a folder of its batch id, so a repeat replaces it.
 
-    The decoded batch is cached on the executors while its tables are written; metrics are
-    computed on the written rows. Without `widths` the buckets that long series are cut into
-    are sized from the batch's own density, so that no source can fill one task.
+    The decoded batch is cached on the executors while its tables are written; what the metrics need is
+    observed as the rows are written, so nothing is read twice. Any table may get no row. Without
+    `widths` the buckets that long series are cut into are sized from the batch's own density, so that no source can
+    fill one task.
     """
     spark, started = messages.sparkSession, time.time()
     flat = flatten_messages(messages).withColumn(TIE, F.xxhash64(*FLAT_COLUMNS)).persist()
+    kept, refused = Observation(), Observation()
     try:
         if widths is None:
             timed = flat.select(*scope, F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"))
             widths = fitted_widths(timed.filter("timestamp IS NOT NULL"), scope, "timestamp")
         clean, excluded = process_batch(flat, list(scope), ["timestamp", TIE], widths)
-        write_by_batch(clean.drop(TIE), f"{out}/clean", batch_id)
-        write_by_batch(excluded.drop(TIE), f"{out}/excluded", batch_id)
+        clean = clean.drop(TIE)
+        write_by_batch(clean.observe(kept, *verdict(scored_columns(clean))), f"{out}/clean", batch_id)
+        write_by_batch(excluded.drop(TIE).observe(refused, F.count("*").alias("n")), f"{out}/excluded", batch_id)
     finally:
         flat.unpersist()
-    kept = written_batch(spark, f"{out}/clean", table_schema(clean.drop(TIE)), batch_id)
-    refused = written_batch(spark, f"{out}/excluded", table_schema(excluded.drop(TIE)), batch_id)
-    rows = kept.select("batch_id").unionByName(refused.select("batch_id"))
-    stamp = F.lit(as_of).cast("timestamp") if as_of is not None else F.current_timestamp()
-    totals = rows.groupBy("batch_id").agg(
-        F.count("*").alias("messages"), F.lit(time.time() - started).alias("seconds"), stamp.alias("batch_time")
-    )
-    metrics = batch_metrics(kept, "batch_id", totals)
+    seen = kept.get
+    at = datetime.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of or datetime.datetime.now()
+    row = {"batch_id": batch_id, "messages": seen["total_records"] + refused.get["n"], "seconds": time.time() - started, "batch_time": at, **seen}
+    metrics = spark.createDataFrame([row], METRICS)
     write_by_batch(metrics, f"{out}/metrics", batch_id)
-    written = written_batch(spark, f"{out}/metrics", table_schema(metrics), batch_id)
-    write_by_batch(alerts(written), f"{out}/alerts", batch_id)
+    write_by_batch(alerts(metrics), f"{out}/alerts", batch_id)
 
 
-def written_batch(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame:
-    """One batch's rows of a table; the folders of other batches are not listed."""
-    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id={batch_id}")
+class ProgressLog(StreamingQueryListener):
+    """F6 by the engine's own account: one JSON row per micro-batch of the named query."""
 
+    def __init__(self, spark: SparkSession, query: str, path: str):
+        self.spark, self.query, self.path = spark, query, path
 
-def table_schema(df: DataFrame):
-    """The schema of a table written by batch: the batch id is the partition column."""
-    return df.drop("batch_id").schema.add("batch_id", "long")
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = json.loads(event.progress.json)
+        if p["name"] == self.query and p["numInputRows"]:
+            row = [(p["batchId"], p["timestamp"], p["numInputRows"], float(p.get("processedRowsPerSecond", 0.0)), p["durationMs"].get("triggerExecution", 0))]
+            kind = "batch_id bigint, started string, rows bigint, rows_per_second double, milliseconds bigint"
+            append_json(self.spark.createDataFrame(row, kind), self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.exception or ""):
+            row = [("QUERY_TERMINATED", str(event.exception), None)]
+            append_json(self.spark.createDataFrame(row, "type string, message string, batch_id bigint"), f"{self.path}_errors")
 
 
 def run_ingest(
     messages: DataFrame, out: str, checkpoint: str, scope=("source",), widths=None,
-    once: bool = True, interval: str = "10 seconds", as_of=None,
+    once: bool = True, interval: str = "10 seconds", as_of=None, name: str | None = None,
 ) -> StreamingQuery:
     """Run the batch body over a message stream; the checkpoint holds the source offsets.
 
@@ -78,6 +99,7 @@ def run_ingest(
             raise
 
     writer = messages.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+    writer = writer if name is None else writer.queryName(name)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     return writer.start()
 

@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skywell.operators import live
 from skywell.schema import LIVE_WINDOWS, POLLUTANTS
-from skywell.sources.files import write_by_batch
+from skywell.sources.files import read_batch, write_by_batch
 
 
 def tail_clean(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -17,10 +17,8 @@ def tail_clean(spark: SparkSession, path: str, schema, files_per_batch: int | No
 
 
 def _previous(spark: SparkSession, path: str, schema, batch_id: int) -> DataFrame:
-    """A table's rows of the newest batch before this one; none on the first."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id={batch_id - 1}")
+    """A table's rows of the batch before this one; none on the first."""
+    return spark.createDataFrame([], schema) if batch_id == 0 else read_batch(spark, path, batch_id - 1, schema).drop("batch_id")
 
 
 def refresh(batch: DataFrame, batch_id: int, out: str, ts: str, keys=(), cols=POLLUTANTS, identity=()) -> None:
@@ -33,8 +31,8 @@ def refresh(batch: DataFrame, batch_id: int, out: str, ts: str, keys=(), cols=PO
     """
     spark, keys = batch.sparkSession, list(keys)
     cols = list(cols)
-    state_schema = batch.select(*keys, ts, *cols).schema.add("batch_id", "long")
-    held = _previous(spark, f"{out}/state", state_schema, batch_id).drop("batch_id")
+    state_schema = batch.select(*keys, ts, *cols).schema
+    held = _previous(spark, f"{out}/state", state_schema, batch_id)
     fresh = batch.select(*keys, ts, *cols).filter(F.col(ts).isNotNull())
     merged = fresh.unionByName(held).withColumn("_tie", F.xxhash64(*cols))
     if identity:
@@ -42,7 +40,7 @@ def refresh(batch: DataFrame, batch_id: int, out: str, ts: str, keys=(), cols=PO
     newest = live.latest_rows(merged, max(LIVE_WINDOWS.values()), ts, "_tie", keys).drop("age", "_tie")
     write_by_batch(newest, f"{out}/state", batch_id)
 
-    state = _previous(spark, f"{out}/state", state_schema, batch_id + 1).drop("batch_id")
+    state = read_batch(spark, f"{out}/state", batch_id, state_schema).drop("batch_id")
     windows = live.last_n_windows(state, ts, ts, keys)
     found = live.zscore_anomalies(windows, ts, cols=cols, keys=keys)
     write_by_batch(live.window_stats(windows, cols, keys), f"{out}/stats", batch_id)
@@ -51,7 +49,7 @@ def refresh(batch: DataFrame, batch_id: int, out: str, ts: str, keys=(), cols=PO
     write_by_batch(live.live_patterns(windows, ts, cols, keys), f"{out}/patterns", batch_id)
     summary = live.live_summary(batch, windows, found, ts)
     kind = dict(summary.dtypes)["last_update"]
-    before = _previous(spark, f"{out}/summary", f"total_records bigint, last_update {kind}, batch_id bigint", batch_id)
+    before = _previous(spark, f"{out}/summary", f"total_records bigint, last_update {kind}", batch_id)
     summary = summary.withColumns({
         "total_records": F.col("total_records") + F.coalesce(before.agg(F.sum("total_records")).scalar(), F.lit(0)),
         "last_update": F.greatest("last_update", before.agg(F.max("last_update")).scalar()),
