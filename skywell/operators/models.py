@@ -1,4 +1,4 @@
-"""Linear and boosted models.
+"""Linear models.
 
 The linear family is chosen from sufficient statistics: one pass finds each feature's mean,
 one more the shifted cross products of every part. Nine candidates, their validation errors
@@ -11,13 +11,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skywell.functions.attach import attach
-from skywell.schema import BOOSTED_CANDIDATES, LINEAR_CANDIDATES
+from skywell.schema import LINEAR_CANDIDATES
 
 
 def cross_moments(df: DataFrame, names: list[str], by, centre: DataFrame, keys) -> DataFrame:
@@ -153,73 +150,6 @@ def predict_linear(df: DataFrame, model: DataFrame, features: list[str], keys=()
     return attach(df, model.select(*keys, "intercept", "coef"), keys, "_m").withColumn(into, total).drop("_m")
 
 
-@dataclass
-class Boosted:
-    """A boosted tree model with its feature order."""
-
-    model: GBTRegressionModel
-    features: list[str]
-    params: tuple
-    val_rmse: float | None
-
-    def predict(self, df: DataFrame, into: str = "prediction") -> DataFrame:
-        packed = VectorAssembler(inputCols=self.features, outputCol="_x", handleInvalid="error").transform(
-            df.dropna(subset=self.features)
-        )
-        return self.model.setPredictionCol(into).transform(packed).drop("_x")
-
-    def save(self, path: str) -> None:
-        """A14."""
-        self.model.write().overwrite().save(f"{path}/model")
-        spark = SparkSession.active()
-        spark.createDataFrame(
-            [(self.features, list(map(float, self.params)), self.val_rmse)],
-            "features array<string>, params array<double>, val_rmse double",
-        ).coalesce(1).write.mode("overwrite").json(f"{path}/about")
-
-    @classmethod
-    def load(cls, path: str) -> "Boosted":
-        about = SparkSession.active().read.schema(
-            "features array<string>, params array<double>, val_rmse double"
-        ).json(f"{path}/about").first()
-        return cls(GBTRegressionModel.load(f"{path}/model"), about.features, tuple(about.params), about.val_rmse)
-
-
-PIECE_ROWS = 20_000
-
-
-def fit_boosted(train: DataFrame, features: list[str], target: str, params: tuple, seed: int = 42) -> GBTRegressionModel:
-    trees, rate, depth = params
-    packed = VectorAssembler(inputCols=features, outputCol="_x").transform(train.dropna(subset=[*features, target]))
-    learner = GBTRegressor(
-        featuresCol="_x", labelCol=target, maxIter=trees, stepSize=rate, maxDepth=depth, seed=seed, checkpointInterval=20
-    )
-    return learner.fit(packed)
-
-
-def select_boosted(
-    parts: DataFrame, features: list[str], target: str = "y", candidates=tuple(BOOSTED_CANDIDATES), seed: int = 42
-) -> Boosted:
-    """Fit each setting on train, keep the lowest validation RMSE, refit on train + val."""
-    rows = parts.select("split", target, *features)
-    pieces = max(1, rows.count() // PIECE_ROWS)  # a tree level is a job: tasks must be worth their start
-    train = rows.filter("split = 'train'").coalesce(pieces).persist()
-    val = rows.filter("split = 'val'").coalesce(pieces).persist()
-    score = RegressionEvaluator(labelCol=target, predictionCol="prediction", metricName="rmse")
-    try:
-        best = None
-        for params in candidates:
-            trial = Boosted(fit_boosted(train, features, target, params, seed), features, params, None)
-            trial.val_rmse = score.evaluate(trial.predict(val))
-            if best is None or trial.val_rmse < best.val_rmse:
-                best = trial
-        final = fit_boosted(train.unionByName(val).coalesce(pieces), features, target, best.params, seed)
-    finally:
-        train.unpersist()
-        val.unpersist()
-    return Boosted(final, features, best.params, best.val_rmse)
-
-
 def save_table(model: DataFrame, path: str) -> None:
     """A14 for model and metrics tables."""
     model.write.mode("overwrite").parquet(path)

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-from skywell.operators import evaluate, features, grid, models, predict, seasonal
+from skywell.operators import boosting, evaluate, features, grid, models, predict, seasonal
 from skywell.plans import ctes
 from skywell.plans.explore_queries import MEASURES, lineitem
 from skywell.plans.fixtures import hourly
@@ -363,7 +363,7 @@ def select_linear_volume(spark, sf_dir):
 def fit_boosted(spark, sf_dir):
     """Boosted trees on all stations, scored on the test part."""
     rows = settle(feature_table(spark, sf_dir)[0])
-    best = models.select_boosted(rows, NAMES, "y")
+    best = boosting.select_boosted(rows, NAMES, "y")
     tested = best.predict(rows.filter("split = 'test'"))
     return rounded(evaluate.forecast_metrics(tested, "y", "prediction", STATION), 6)
 

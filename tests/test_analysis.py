@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skywell.functions.quantiles import exact_quantiles
 from skywell.functions.tdist import two_sided_p
-from skywell.operators import evaluate, explore, features, live, models, outliers, predict, seasonal
+from skywell.operators import boosting, evaluate, explore, features, live, models, outliers, predict, seasonal
 
 START = dt.datetime(2024, 1, 1)
 
@@ -190,15 +190,43 @@ def test_boosted_beats_the_mean_and_survives_saving(spark, tmp_path):
     rng = np.random.default_rng(8)
     x = rng.random(size=(300, 2))
     parts, names = parts_of(spark, x, np.where(x[:, 0] > 0.5, 10.0, 0.0) + x[:, 1], ["train"] * 200 + ["val"] * 50 + ["test"] * 50)
-    best = models.select_boosted(parts, names, candidates=[(3, 0.1, 2), (10, 0.3, 3)])
+    best = boosting.select_boosted(parts, names, candidates=[(3, 0.1, 2), (10, 0.3, 3)])
     test = parts.filter("split = 'test'")
     score = evaluate.forecast_metrics(best.predict(test), "y", "prediction").first()
     assert score.r2 > 0.8
     best.save(str(tmp_path / "m"))
-    again = evaluate.forecast_metrics(models.Boosted.load(str(tmp_path / "m")).predict(test), "y", "prediction").first()
+    again = evaluate.forecast_metrics(boosting.Boosted.load(str(tmp_path / "m")).predict(test), "y", "prediction").first()
     assert again.rmse == pytest.approx(score.rmse)
 
 
+def test_boosting_by_level_equals_boosting_in_one_task(spark):
+    """The jobs merge what the blocks add up to the same trees, whatever the blocks; so does plain code over sorted values."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 40, size=(240, 3)).astype(float)
+    parts, names = parts_of(spark, x, np.round(np.sin(x[:, 0] / 6) * 8 + (x[:, 1] > 20) * x[:, 2]), ["train"] * 180 + ["val"] * 60)
+    settings = [(2, 0.5, 3), (12, 0.25, 2)]
+    whole = boosting.select_boosted(parts, names, candidates=settings)
+    cut = boosting.select_boosted(parts.repartition(4), names, candidates=settings, block_rows=70)
+    assert whole.params == cut.params and whole.val_rmse == pytest.approx(cut.val_rmse)
+    for a, b in zip(whole.trees, cut.trees, strict=True):
+        assert np.array_equal(a.feature, b.feature) and np.array_equal(a.cut, b.cut)
+        np.testing.assert_allclose(a.value, b.value, atol=1e-9)
+    y = np.array([r.y for r in parts.orderBy("y").select("y").collect()])
+    assert whole.base == pytest.approx(y.mean())
+    # the first split of the refit, by trying every cut of every feature
+    rows = parts.select(*names, "y").toPandas()
+    off, best = rows.y - rows.y.mean(), (0.0, None)
+    for i, c in enumerate(names):
+        for edge in whole.edges[i]:
+            left = rows[c] <= edge
+            if 0 < left.sum() < len(rows):
+                gain = sum(off[side].sum() ** 2 / (side.sum() + 1.0) for side in (left, ~left)) - off.sum() ** 2 / (len(rows) + 1.0)
+                if gain > best[0] + 1e-9:
+                    best = (gain, (i, edge))
+    first = whole.trees[0]
+    assert (int(first.feature[0]), whole.edges[first.feature[0]][first.cut[0]]) == best[1]
+
+
 def test_metric_edges(spark):
     df = spark.createDataFrame([(0.0, 0.0), (2.0, 1.0), (None, 5.0)], "y double, p double")
     r = evaluate.forecast_metrics(df, "y", "p").first()

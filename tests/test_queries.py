@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from skywell.plans import clean_queries, explore_queries, forecast_queries, stream_queries
+from skywell.plans import clean_queries, explore_queries, fixtures, forecast_queries, stream_queries
 from tests.compare import database, difference
 
 SF = "/root/testdata/sf0.001"
@@ -22,13 +22,20 @@ def test_query_equals_sql(spark, con, name):
     assert difference(queries()[name](spark, SF), con, oracle_sql()[name]) is None
 
 
-# Every other query of the library; the boosted grid takes minutes and is measured by bench.py.
-WITHOUT_SQL = sorted(n for n in QUERIES if n not in SQL and n != "fit_boosted")
+# The smallest tables have no hour with all channels, which the forest judges.
+NO_ROWS = {"isolation_forest"}
 
 
-@pytest.mark.parametrize("name", WITHOUT_SQL)
+@pytest.mark.parametrize("name", sorted(QUERIES - SQL))
 def test_query_without_sql_has_rows(spark, name):
-    assert queries()[name](spark, SF).count() > 0
+    assert (queries()[name](spark, SF).count() > 0) == (name not in NO_ROWS)
+
+
+def test_the_forest_marks_its_share_of_complete_hours(spark):
+    sf = SF.replace("0.001", "0.01")
+    complete = fixtures.hourly(spark, sf).dropna().count()
+    marked = queries()["isolation_forest"](spark, sf)
+    assert 0 < marked.select("ts").distinct().count() <= complete
 
 
 def test_entry_has_stable_schema(spark):
