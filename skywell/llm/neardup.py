@@ -7,10 +7,8 @@ pair is verified by aligning both sequences within the band that a similarity of
 the length of the longest common chain over the shingles of both less that length.
 
 Equal word sequences are one text from the start. In a bucket all texts are compared with a leader,
-so a bucket that is one class costs no more than its size. Where a
-bucket still holds texts of several classes afterwards, it is split by every second function and
-a member of each class is compared with a leader again. What then still shares a bucket across classes is compared
-in full, each pair once. Classes are the connected components.
+so a bucket that is one class costs no more than its size. What then still shares a bucket across classes is compared
+in full, each pair once, until its classes are joined. Classes are the connected components.
 """
 
 import bisect
@@ -168,31 +166,23 @@ def classes(sketches: DataFrame) -> DataFrame:
     buckets = one_each.select("tid", "x.size", F.posexplode("x.signatures").alias("band", "sig"))
     shared = buckets.groupBy("band", "sig").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     buckets = written(buckets.join(shared, ["band", "sig"]))
-    links = verified(led(buckets, ["band", "sig"]), texts)
-    label = components(links)
-
-    placed = buckets.join(label.withColumnRenamed("node", "tid"), "tid", "left").withColumn("label", F.coalesce("label", "tid"))
-    placed = written(placed)
-    mixed_up = placed.groupBy("band", "sig").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m")
-    mixed_up = written(placed.join(mixed_up.select("band", "sig"), ["band", "sig"]))
-    other = mixed_up.select("tid", F.col("band").alias("band2"), F.col("sig").alias("sig2")).distinct()
-    split = mixed_up.join(other, "tid").filter("band < band2")
-    deeper = ["band", "sig", "band2", "sig2"]
-    member = split.groupBy(*deeper, "label").agg(F.min(F.struct(F.xxhash64("tid", "band2").alias("h"), "tid", "size")).alias("x"))
-    more = verified(led(member.select(*deeper, "x.tid", "x.size"), deeper, ("band", "band2")), texts)
-    links = written(links.union(more))
-    links = written(links.union(crossing(buckets, components(links), one_each, texts)))
-    return components(links).withColumnRenamed("node", "tid")
-
-
-def crossing(buckets: DataFrame, label: DataFrame, one_each: DataFrame, texts: DataFrame) -> DataFrame:
-    """`a`, `b`: all similar pairs that share a bucket but no class yet.
+    label = components(verified(led(buckets, ["band", "sig"]), texts)).withColumnRenamed("node", "tid")
+    placed = written(buckets.join(label, "tid", "left").withColumn("label", F.coalesce("label", "tid")))
+    merged = crossing(placed, one_each, texts)
+    if merged.isEmpty():
+        return label
+    merged = components(merged).select(F.col("node").alias("label"), F.col("label").alias("whole"))
+    members = written(placed.select("tid", "label").distinct())
+    return members.join(merged, "label", "left").select("tid", F.coalesce("whole", "label").alias("label"))
+
+
+def crossing(placed: DataFrame, one_each: DataFrame, texts: DataFrame) -> DataFrame:
+    """`a`, `b`: labels to merge, of classes with a similar pair of texts in one bucket.
 
     Each such pair has a member outside the largest class of its bucket. Those members, in cells, meet all
     members of the bucket, in cells: what is sent grows with the members outside the largest class. A pair that
-    shares several buckets is compared in the first.
+    shares several buckets is compared in the first. A cell names two classes once, however many pairs they have.
     """
-    placed = buckets.join(label.withColumnRenamed("node", "tid"), "tid", "left").withColumn("label", F.coalesce("label", "tid"))
     sizes = written(placed.groupBy("band", "sig", "label").agg(F.count("*").alias("n")))
     most = sizes.groupBy("band", "sig").agg(
         F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("labels")
@@ -203,7 +193,7 @@ def crossing(buckets: DataFrame, label: DataFrame, one_each: DataFrame, texts: D
     ))
     mixed_up = written(placed.join(most, ["band", "sig"]))
     if mixed_up.isEmpty():
-        return buckets.sparkSession.createDataFrame([], "a binary, b binary")
+        return placed.sparkSession.createDataFrame([], "a binary, b binary")
     used = sent_if_small(written(mixed_up.select("tid").distinct()))
     words = texts.join(used, "tid", "left_semi").groupBy("tid").agg(F.min("words").alias("words"))
     known = written(words.join(one_each.select("tid", "x.signatures"), "tid"))
@@ -220,15 +210,20 @@ def crossing(buckets: DataFrame, label: DataFrame, one_each: DataFrame, texts: D
 
 
 def compared(left: pa.Table, right: pa.Table) -> pa.Table:
-    """The similar pairs of a cell outside the largest class of a bucket with a cell of all its members."""
+    """Pairs of labels of similar texts, of a cell outside the largest class of a bucket and a cell of all its members.
+
+    Labels that a pair has joined are one from then on, so no more of their texts are compared.
+    """
     out = ([], [])
     if left.num_rows and right.num_rows:
         left = left.rename_columns([c.removeprefix("l_") for c in left.column_names])
         band = left.column("band")[0].as_py()
+        names: dict = {}
         (ids, labels, signs), (others, other_labels, other_signs) = (
-            (np.array(t.column("tid").to_pylist(), object), np.array(t.column("label").to_pylist(), object),
+            (np.array(t.column("tid").to_pylist(), object), np.array([names.setdefault(x, len(names)) for x in t.column("label").to_pylist()]),
              [np.array(x, np.int64) for x in t.column("signatures").to_pylist()]) for t in (left, right)
         )
+        spelled = list(names)
         width = max(map(len, (*signs, *other_signs)))
         filled = np.zeros((len(others), width), np.int64)
         there = np.zeros((len(others), width), np.bool_)
@@ -252,11 +247,15 @@ def compared(left: pa.Table, right: pa.Table) -> pa.Table:
             shared = np.add.reduceat(in_x[place].astype(np.int64), starts)  # a chain is no longer than what both have
             near &= shared >= SIMILARITY / (1 + SIMILARITY) * (len(x) + other_size) - 1e-9
             for j in np.flatnonzero(near):
+                if labels[i] == other_labels[j]:
+                    continue
                 y = other_keys[j]
                 n = chain(x, y)
                 if n >= SIMILARITY * (len(x) + len(y) - n):
-                    out[0].append(min(ids[i], others[j]))
-                    out[1].append(max(ids[i], others[j]))
+                    one, two = labels[i], other_labels[j]
+                    out[0].append(spelled[one])
+                    out[1].append(spelled[two])
+                    labels[labels == two], other_labels[other_labels == two] = one, one
     return pa.table([pa.array(x, pa.binary()) for x in out], ["a", "b"])
 
 
