@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from skywell.llm.common import fresh, query, small_batches, table
+from skywell.llm.common import fresh, query, small_batches, table, together
 
 CAPACITY = 2048
 END = 1
@@ -234,7 +234,7 @@ def pack(
 
     def tokenize(batches):
         ids = word_ids(path)
-        for b in batches:
+        for b in together(batches, 1):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), ids(b.column(1), end)], ["k", "g", "ids"])
 
     names = [key, *(fresh(n, [key]) for n in ("start", "length", "ids", "doc_tokens", "sequence_id", "offset"))]
