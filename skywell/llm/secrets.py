@@ -12,6 +12,7 @@ import base64
 import binascii
 import bz2
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -130,19 +131,29 @@ def inflated(feed: Feed, size: int):
         feed.held = member.unused_data + feed.held
 
 
-def innermost(feed: Feed, size: int, seen: frozenset = frozenset()) -> Feed | None:
-    """The content inflated as often as it is compressed; None if it is not, or leads back to itself."""
-    digest = hashlib.blake2b(feed.peek(size), digest_size=16).digest()
-    if digest in seen or opener(feed.held) is None:
-        return None
-    inner = Feed(inflated(feed, size))
-    if not inner.peek(size):
-        return None
-    head = inner.held
-    deeper = innermost(inner, size, seen | {digest})
-    if deeper is None and not inner.held:
-        inner.held = head
-    return deeper or inner
+def innermost(feed: Feed, size: int, chained: int = 100) -> Feed | None:
+    """The content inflated as often as it is compressed; None if it is not, or leads back to itself.
+
+    Layers are read as a chain. After every `chained` of them the content so far is held, so that a chain stays short;
+    content of more than `INFLATED` bytes is not held, and then that of the last layer in the chain is returned.
+    """
+    best, seen = None, set()
+    for depth in itertools.count(1):
+        head = feed.peek(size)
+        digest = hashlib.blake2b(head, digest_size=16).digest()
+        if digest in seen or opener(head) is None:
+            return best
+        seen.add(digest)
+        inner = Feed(inflated(feed, size))
+        if not inner.peek(size):
+            if best is not None and not feed.held:
+                feed.held = head
+            return best
+        best = feed = inner
+        if depth % chained == 0:
+            if len(feed.peek(INFLATED + 1)) > INFLATED:
+                return best
+            best = feed = Feed([feed.held])
 
 
 def as_text(raw: bytes) -> tuple[str, int, bool]:
