@@ -27,7 +27,7 @@ RULES = (
 @dataclass(frozen=True)
 class RankSettings:
     damping: float = 0.85
-    steps: int = 12
+    tolerance: float = 1e-4  # change of all scores in three steps at which they stay, against the seeds' weights
     threshold: float = 0.5  # share of a host's own rank
 
 
@@ -73,7 +73,7 @@ def name_edges(hosts: DataFrame) -> DataFrame:
 
 
 def propagate(edges: DataFrame, hosts: DataFrame, settings: RankSettings) -> DataFrame:
-    """`host`, `trust`, `distrust` and `own` after a fixed number of steps from the seeds in `hosts`.
+    """`host`, `trust`, `distrust` and `own`, stepped from the seeds in `hosts` until they hardly change.
 
     `hosts` has `host` and the seed weights `trust`, `distrust`, `own`. One step is a join of the
     scores with the edges and a sum by target, in which Spark combines each task's rows first and
@@ -86,23 +86,22 @@ def propagate(edges: DataFrame, hosts: DataFrame, settings: RankSettings) -> Dat
         both.groupBy("source", "target", "way").agg(F.sum("weight").alias("weight")).join(totals, ["source", "way"])
         .select("source", "target", "way", (F.col("weight") / F.col("total")).alias("share"))
     )
+    kinds = ("trust", "distrust", "own")
+    stay = 1 - settings.damping
+    seeds = hosts.select("host", *[F.col(c).alias(f"s_{c}") for c in kinds])
+    weight = hosts.agg(*[F.sum(F.abs(c)).alias(c) for c in kinds]).first()
     scores = hosts
-    for i in range(settings.steps):
-        moved = (
-            scores.withColumnRenamed("host", "source").join(steps, "source")
-            .groupBy(F.col("target").alias("host")).agg(
-                F.sum(F.when(F.col("way") == 1, F.col("trust") * F.col("share")).otherwise(0.0)).alias("m_trust"),
-                F.sum(F.when(F.col("way") == -1, F.col("distrust") * F.col("share")).otherwise(0.0)).alias("m_distrust"),
-                F.sum(F.when(F.col("way") == 1, F.col("own") * F.col("share")).otherwise(0.0)).alias("m_own"),
-            )
-        )
-        stay = 1 - settings.damping
-        scores = hosts.select("host", *[F.col(c).alias(f"s_{c}") for c in ("trust", "distrust", "own")]).join(moved, "host", "left").select(
-            "host", *[(stay * F.col(f"s_{c}") + settings.damping * F.coalesce(f"m_{c}", F.lit(0.0))).alias(c) for c in ("trust", "distrust", "own")]
-        )
-        if i % 3 == 2:
-            scores = written(scores)  # cuts the plan, and a lost executor's work
-    return scores
+    while True:
+        before = scores.select("host", *[F.col(c).alias(f"b_{c}") for c in kinds])
+        for _ in range(3):
+            carried = [F.sum(F.when(F.col("way") == way, F.col(c) * F.col("share")).otherwise(0.0)).alias(f"m_{c}") for c, way in zip(kinds, (1, -1, 1))]
+            moved = scores.withColumnRenamed("host", "source").join(steps, "source").groupBy(F.col("target").alias("host")).agg(*carried)
+            stepped = [(stay * F.col(f"s_{c}") + settings.damping * F.coalesce(f"m_{c}", F.lit(0.0))).alias(c) for c in kinds]
+            scores = seeds.join(moved, "host", "left").select("host", *stepped)
+        scores = written(scores)  # cuts the plan, and a lost executor's work
+        changes = scores.join(before, "host").agg(*[F.sum(F.abs(F.col(c) - F.col(f"b_{c}"))).alias(c) for c in kinds]).first()
+        if all((changes[c] or 0.0) <= settings.tolerance * (weight[c] or 0.0) for c in kinds):
+            return scores
 
 
 def judge_urls(
