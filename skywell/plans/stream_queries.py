@@ -13,7 +13,9 @@ from skywell.session import checkpoint_dir
 from skywell.sources.files import export_csv, load_table, read_batch, read_sensor_csv
 from skywell.sources.messages import decode, keyed, read_messages, to_messages
 from skywell.streaming.ingest import read_ingested, run_ingest
+from skywell.streaming import event_time
 from skywell.streaming.live import run_live_analytics, tail_clean
+from skywell.streaming.stateful import run_last_n
 
 ROWS_PER_FILE = 1_000_000
 LEAST_FILES, BATCHES = 6, 3
@@ -153,3 +155,101 @@ def run_live_patterns(spark, sf_dir):
 def run_live_summary(spark, sf_dir):
     """G7 of the same stream, all columns."""
     return rounded(latest(spark, sf_dir, "summary"))
+
+
+@query(
+    final(
+        explore_queries.windows_cte("station") + ", s AS ("
+        + explore_queries.per_channel(POLLUTANTS, explore_queries.WINDOW_STATS, "w", 'station, "window"') + ")",
+        "s", ["station", '"window"', "channel", '"count"'], ["mean", "std", "min", "max"], 'WHERE "count" > 0',
+    )
+)
+def run_live_stateful(spark, sf_dir):
+    """G1, G2 as engine state: what the last batch that touched a station left for it."""
+    base = folder(spark)
+    rows = fixtures.hourly(spark, sf_dir, station=True).select("station", "ts", *POLLUTANTS)
+    files, per_batch = files_of(rows)
+    rows.repartition(files, "ts").write.parquet(f"{base}/clean")
+    stream = tail_clean(spark, f"{base}/clean", rows.schema, per_batch)
+    run_last_n(stream, f"{base}/stats", f"{base}/offsets", "ts", ["station"]).awaitTermination()
+    stats = spark.read.parquet(f"{base}/stats")
+    newest = stats.groupBy("station", "window", "channel").agg(F.max_by(F.struct("count", "mean", "std", "min", "max"), "batch_id").alias("s"))
+    return rounded(newest.select("station", "window", "channel", "s.*"))
+
+
+ARRIVALS, DELAY = 6, "3 days"
+# When a reading arrives: in order of time, some much later, some twice.
+ARRIVAL = f"least({ARRIVALS - 1}, event_id * {ARRIVALS} // (SELECT max(event_id) + 1 FROM events) + CASE WHEN event_id % 50 = 7 THEN 2 ELSE 0 END)"
+DELIVERED = (
+    f"e AS (SELECT event_id, ts, user_id % {fixtures.STATIONS} AS station, value, {ARRIVAL} AS arrival FROM events), "
+    f"d AS (SELECT * FROM e UNION ALL SELECT event_id, ts, station, value, least(arrival + 1, {ARRIVALS - 1}) FROM e WHERE event_id % 40 = 3), "
+    "m AS (SELECT arrival + 1 AS arrival, max(max(ts)) OVER (ORDER BY arrival) - INTERVAL 3 DAY AS mark FROM d GROUP BY arrival), "
+    "j AS (SELECT d.*, coalesce(d.ts <= m.mark, false) AS late FROM d LEFT JOIN m ON m.arrival = d.arrival), "
+    "kept AS (SELECT DISTINCT event_id, ts, station, value FROM j WHERE NOT late), "
+    "closed AS (SELECT max(ts) - INTERVAL 3 DAY AS mark FROM kept)"
+)
+
+
+def delivered(spark, sf_dir) -> str:
+    """Publish readings in the order of their arrival, a file set for each; sort out the late ones."""
+    base = folder(spark)
+    events = fixtures.events(spark, sf_dir)
+    last = events.agg(F.max("event_id")).first()[0]
+    arrival = F.expr(f"least({ARRIVALS - 1}, event_id * {ARRIVALS} div {last + 1} + CASE WHEN event_id % 50 = 7 THEN 2 ELSE 0 END)")
+    station = (F.col("user_id") % fixtures.STATIONS).alias("station")
+    rows = events.select("event_id", F.col("ts").cast("string").alias("timestamp"), station, "value", arrival.alias("arrival"))
+    again = rows.filter("event_id % 40 = 3").withColumn("arrival", F.least(F.col("arrival") + 1, F.lit(ARRIVALS - 1)))
+    rows = rows.unionByName(again)
+    kind = rows.drop("arrival").schema
+    for i in range(ARRIVALS):  # files are read in the order they were written; one set makes a batch
+        rows.filter(F.col("arrival") == i).drop("arrival").coalesce(1).write.mode("append").parquet(f"{base}/topic")
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{base}/topic")
+    stream = stream.withColumn(event_time.AT, event_time.as_event_time("timestamp"))
+    event_time.run_sort_out(stream, f"{base}/out", f"{base}/offsets", DELAY).awaitTermination()
+    return base
+
+
+def in_time(spark, base: str) -> DataFrame:
+    schema = read_batch(spark, f"{base}/out/on_time", 0).drop("batch_id").schema
+    return event_time.on_time(spark, f"{base}/out", schema, DELAY, ["event_id"])
+
+
+@query(f"WITH {DELIVERED} SELECT event_id, arrival AS batch_id, 'LATE' AS late_reason FROM j WHERE late")
+def stream_late(spark, sf_dir):
+    """Readings that came after the watermark had passed them, with the batch that refused them."""
+    rows = spark.read.parquet(f"{delivered(spark, sf_dir)}/out/late")
+    return rows.select("event_id", F.col("batch_id").cast("bigint").alias("batch_id"), "late_reason")
+
+
+@query(f"WITH {DELIVERED} SELECT event_id, station, value FROM kept")
+def stream_on_time(spark, sf_dir):
+    """Readings that came in time, each once however often it was delivered."""
+    base = delivered(spark, sf_dir)
+    event_time.run_table(in_time(spark, base), f"{base}/kept", f"{base}/kept_offsets").awaitTermination()
+    return spark.read.parquet(f"{base}/kept").select("event_id", "station", "value")
+
+
+@query(
+    f"WITH {DELIVERED} SELECT station, date_trunc('day', ts) AS start, count(*) AS n, round(avg(value), 10) AS mean FROM kept "
+    "GROUP BY 1, 2 HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT mark FROM closed)"
+)
+def stream_daily(spark, sf_dir):
+    """Days of every station that the watermark has closed."""
+    base = delivered(spark, sf_dir)
+    rows = event_time.tumbling(in_time(spark, base), "1 day", ["station"], n=F.count("*"), mean=F.avg("value"))
+    event_time.run_table(rows, f"{base}/daily", f"{base}/daily_offsets").awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/daily").select("station", "start", "n", "mean"))
+
+
+@query(
+    f"WITH {DELIVERED}, g AS (SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 2 HOUR, true)::INT AS cut FROM kept WINDOW w AS (PARTITION BY station ORDER BY ts)), "
+    "s AS (SELECT *, sum(cut) OVER (PARTITION BY station ORDER BY ts, event_id) AS part FROM g) "
+    "SELECT station, min(ts) AS start, max(ts) + INTERVAL 2 HOUR AS \"end\", count(*) AS n, max(value) AS peak FROM s "
+    "GROUP BY station, part HAVING max(ts) + INTERVAL 2 HOUR <= (SELECT mark FROM closed)"
+)
+def stream_sessions(spark, sf_dir):
+    """Stretches of readings of a station without a gap of two hours, once closed."""
+    base = delivered(spark, sf_dir)
+    rows = event_time.sessions(in_time(spark, base), "2 hours", ["station"], n=F.count("*"), peak=F.max("value"))
+    event_time.run_table(rows, f"{base}/sessions", f"{base}/sessions_offsets").awaitTermination()
+    return rounded(spark.read.parquet(f"{base}/sessions").select("station", "start", "end", "n", "peak"))
