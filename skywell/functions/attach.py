@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from skywell.session import settle
+from skywell.session import rows_of, settle
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -23,7 +23,7 @@ BROADCAST_GROUPS = 100_000
 def written_groups(summary: DataFrame) -> DataFrame:
     """A keyed summary, written and counted once, marked for broadcast when it is small."""
     groups = settle(summary)
-    return F.broadcast(groups) if groups.count() <= BROADCAST_GROUPS else groups
+    return F.broadcast(groups) if rows_of(groups) <= BROADCAST_GROUPS else groups
 
 
 def attach(df: DataFrame, summary: DataFrame, keys, into: str, written: bool = False) -> DataFrame:

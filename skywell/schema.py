@@ -114,3 +114,12 @@ SEASONAL_CANDIDATES = [
     ((1, 1, 1), (1, 1, 0, 24)),
     ((1, 0, 2), (0, 1, 1, 24)),
 ]
+
+# Above which a pollutant is at the level of caution, alert and critical.
+ALERT_LEVELS = {
+    "co_gt": (3.0, 6.0, 8.0),
+    "nox_gt": (400.0, 600.0, 800.0),
+    "no2_gt": (200.0, 250.0, 300.0),
+    "c6h6_gt": (20.0, 40.0, 50.0),
+}
+LEVEL_NAMES = ["normal", "caution", "alert", "critical"]

@@ -1,8 +1,9 @@
 """Session helpers: where lineage is cut, and how."""
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -18,8 +19,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder, so later passes read it back."""
+    """Write `df` once to the shared checkpoint folder and read it back, so that later passes and lost executors start from there.
+
+    The rows are counted as they are written: `rows_of` gives their number without a job. The files
+    go when the session's file system is closed.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    seen = Observation()
+    df.observe(seen, F.count("*").alias("n")).write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.rows_written = seen.get["n"]
+    return out
+
+
+def rows_of(settled: DataFrame) -> int:
+    """The number of rows of a settled table; others are counted."""
+    known = getattr(settled, "rows_written", None)
+    return settled.count() if known is None else known

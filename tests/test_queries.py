@@ -3,11 +3,11 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from skywell.plans import clean_queries, explore_queries, fixtures, forecast_queries, stream_queries
+from skywell.plans import analysis_queries, clean_queries, explore_queries, fixtures, forecast_queries, stream_queries
 from tests.compare import database, difference
 
 SF = "/root/testdata/sf0.001"
-OWN = (clean_queries, explore_queries, forecast_queries, stream_queries)
+OWN = (analysis_queries, clean_queries, explore_queries, forecast_queries, stream_queries)
 QUERIES = {n for n, f in queries().items() if f.__module__ in {m.__name__ for m in OWN}}
 SQL = set(oracle_sql())
 
