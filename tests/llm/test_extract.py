@@ -2,6 +2,7 @@
 
 import html as entities
 import re
+import time
 
 import pytest
 
@@ -54,3 +55,32 @@ def test_rows(spark):
     assert len(got) == 5 and sorted(len(r.text) for r in got)[:3] == [0, 0, 1]
     assert all(r.text.count("\n") == 19_999 for r in got if r.page_id == 3)
     assert extract.extract(df.limit(0)).count() == 0
+
+
+PAGES = [
+    # all of the page in a form, a wrapper with an unlucky name
+    (f"<body><form action=x><div><h1>T</h1><p>{WORDS}</p><p>{WORDS}</p></div><div><input name=a><select><option>o</select></div></form></body>", ["T", WORDS, WORDS]),
+    (f"<form><p>{WORDS}</p></form>", [WORDS]),
+    (f"<div class='article-login'><div><h1>T</h1><p>{WORDS}</p><p>End.</p></div></div><div class=footer>{WORDS}</div>", ["T", WORDS, "End."]),
+    # the lead beside the inner article, the end in a sibling container
+    (f"<main><p>Lead: {WORDS}</p><article><h1>T</h1><p>{WORDS}</p><p>{WORDS}</p></article></main>", [f"Lead: {WORDS}", "T", WORDS, WORDS]),
+    (f"<div><div><h1>T</h1><p>{WORDS}</p><p>{WORDS}</p></div><div><p>Last: {WORDS}</p></div></div><div>(c)</div>", ["T", WORDS, WORDS, f"Last: {WORDS}"]),
+    # links in an article under a name that no list has
+    (f"<article><h1>T</h1><p>{WORDS}</p><ul class=xyz><li><a href=/a>One thing</a><li><a href=/b>Another</a></ul><p>{WORDS}</p><p>Bye.</p></article>", ["T", WORDS, WORDS, "Bye."]),
+    # comments that are longer than the article
+    (f"<article><h1>T</h1><p>{WORDS}</p></article><section id=comments>" + f"<article><p>{WORDS}</p></article>" * 9 + "</section>", ["T", WORDS]),
+    (f"<footer><p>{WORDS}</p></footer>", []),
+]
+
+
+@pytest.mark.parametrize("page, want", PAGES)
+def test_names_don_t_decide_against_the_article(page, want):
+    assert main_text(page).split("\n") == ([" ".join(w.split()) for w in want] or [""])
+
+
+@pytest.mark.parametrize("tags", ["<div>", "<p>", "<div><p>", "<div class=ad>", "<li>", "<b>"])
+def test_deep_nesting_takes_no_square_of_time(tags):
+    started = time.time()
+    assert main_text(f"<article><p>{WORDS}</p></article>" + tags * 50_000 + "x").startswith("Some sentence")
+    assert main_text(tags.replace(" class=ad", "") * 50_000 + WORDS).startswith("Some sentence")
+    assert time.time() - started < 6
