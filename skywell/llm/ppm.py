@@ -7,8 +7,9 @@ escaped with the estimate `distinct / (2 total)` to the next shorter context, in
 all symbols of the longer are excluded; below the empty context all symbols left are equally likely.
 
 Counting and coding go by blocks of documents. A block gives each of its distinct words and byte
-runs once, with its training count; the model is built from these by joins, the codes of every distinct run
-are worked out once, and each block gets back the values of its own runs and words. So what is
+runs once, with its training count; each word and run is gathered once, with its count and the blocks that have it. The model
+is built from these by joins, the codes of every distinct run are worked out once, and each block gets back the
+values of its own runs and words, packed in arrays. So what is
 shuffled is what blocks have in them, not every position, and no table of the whole corpus stands in one
 place: the trie is shuffled by context and grows with the corpus. Only contexts of at most one byte, 66,306 rows
 at most, are broadcast.
@@ -19,11 +20,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from skywell.llm.common import fresh, held_out, query, release, small_batches, table, written
+from skywell.llm.common import discard, fresh, held_out, query, release, small_batches, table, written
 
 ORDER = 5  # bytes of the longest context
 BITS, END, SYMBOLS = 9, 257, 257  # a byte b is symbol b + 1; 0 stands before the text; 257 ends it
 BLOCK = 24 << 20  # characters of a block of documents, about
+GATHERED = 1 << 20  # words or runs of blocks that are gathered in a task, about
 PART, WORDS = 1 << 18, 1 << 21  # bytes coded, and bytes whose words are looked up, at a time
 
 
@@ -138,6 +140,66 @@ def contents(block: pa.Table) -> pa.Table:
     })
 
 
+def gathered(inside: DataFrame, key: str, kind: str) -> DataFrame:
+    """Each distinct `key` of all blocks: its count `c`, and the numbers of the blocks that have it, packed; written."""
+    rows = inside.filter(F.col(key).isNotNull()).select("block", key, "n")
+    groups = max(1, -(-rows.count() // GATHERED))
+
+    def gather(part: pa.Table) -> pa.Table:
+        keys = part.column(key).combine_chunks()
+        coded = keys.dictionary_encode()
+        at = coded.indices.to_numpy()
+        order = np.argsort(at, kind="stable")
+        starts = np.flatnonzero(np.diff(at[order], prepend=-1))
+        count = np.add.reduceat(part.column("n").to_numpy()[order], starts)
+        blocks = np.ascontiguousarray(part.column("block").to_numpy()[order].astype("<i8"))
+        bounds = (np.append(starts, len(at)) * 8).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(blocks)])
+        return pa.table([coded.dictionary, pa.array(count, pa.int64()), packed], [key, "c", "blocks"])
+
+    dealt = rows.withColumn("p", F.pmod(F.xxhash64(key), F.lit(groups))).groupBy("p")
+    return written(dealt.applyInArrow(lambda part: gather(part.drop(["p"])), f"{key} {kind}, c long, blocks binary"))
+
+
+BACK = "b long, words string, runs binary, values binary"
+
+
+def handed_back(found: DataFrame, key: str) -> DataFrame:
+    """`key`, `value` of `found` for each of its `blocks`: rows of a block with many keys and values, packed."""
+
+    def spread(batches):
+        held, size = [], 0
+        for b in batches:
+            held.append(b)
+            size += b.column(1).nbytes // 8
+            if size >= GATHERED:
+                yield packed(held)
+                held, size = [], 0
+        if held:
+            yield packed(held)
+
+    def packed(held):
+        t = pa.Table.from_batches(held)
+        lists = t.column(1).to_pylist()
+        blocks = np.frombuffer(b"".join(lists), "<i8")
+        at = np.repeat(np.arange(len(lists)), [len(x) // 8 for x in lists])
+        order = np.argsort(blocks, kind="stable")
+        at, blocks = at[order], blocks[order]
+        bounds = np.append(np.flatnonzero(np.diff(blocks, prepend=-1)), len(blocks))
+        values = t.column(2).to_numpy()
+        keys = t.column(0).combine_chunks() if key == "word" else t.column(0).to_numpy()
+        cuts = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        number = pa.array(blocks[bounds[:-1]], pa.int64())
+        value = pa.array([values[at[i:j]].tobytes() for i, j in cuts], pa.binary())
+        if key == "word":
+            lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), keys.take(pa.array(at)))
+            return pa.RecordBatch.from_arrays([number, pc.binary_join(lists, " "), pa.nulls(len(cuts), pa.binary()), value], ["b", "words", "runs", "values"])
+        run = pa.array([keys[at[i:j]].tobytes() for i, j in cuts], pa.binary())
+        return pa.RecordBatch.from_arrays([number, pa.nulls(len(cuts), pa.string()), run, value], ["b", "words", "runs", "values"])
+
+    return found.select(key, "blocks", F.col("value").cast("double").alias("value")).mapInArrow(spread, BACK)
+
+
 def suffix(run: str | Column, symbols: int) -> Column:
     """The last `symbols` symbols of a packed run."""
     return F.col(run).bitwiseAND(F.lit((1 << (BITS * symbols)) - 1)) if isinstance(run, str) else run.bitwiseAND(F.lit((1 << (BITS * symbols)) - 1))
@@ -205,12 +267,13 @@ def score_block(totals: dict):
         kinds = [docs.schema.field("k").type if docs.num_rows else pa.null(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
         if not docs.num_rows:
             return pa.table([pa.array([], t) for t in kinds], names)
-        words = values.filter(pc.is_valid(values.column("word")))
-        runs = values.filter(pc.is_valid(values.column("run")))
-        known = words.column("word").combine_chunks().cast(pa.large_string())
-        counts = np.concatenate((words.column("value").to_numpy(), [totals["ends"]]))
+        words = values.filter(pc.is_valid(values.column("words")))
+        runs = values.filter(pc.is_valid(values.column("runs")))
+        numbers = lambda column, kind: np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in column.to_pylist())])
+        known = pc.list_flatten(pc.split_pattern(words.column("words"), " ")).combine_chunks().cast(pa.large_string())
+        counts = np.concatenate((numbers(words.column("values"), float), [totals["ends"]]))
         bits = np.log10((counts + 0.5) / (totals["tokens"] + 0.5 * (totals["distinct"] + 1)))
-        places, run_value = Places(runs.column("run").to_numpy()), runs.column("value").to_numpy()
+        places, run_value = Places(numbers(runs.column("runs"), np.int64)), numbers(runs.column("values"), float)
         texts = lowered(docs.column("text"))
         out = [[], [], [], []]
         for first, n in parts(texts, WORDS):
@@ -249,20 +312,17 @@ def score_documents(df: DataFrame, is_held_out: Column, text: str = "text", key:
     inside = written(rows.groupBy("block").applyInArrow(contents, "block long, word string, run long, n long"))
     release(spark)
 
-    words = inside.filter(F.col("word").isNotNull()).select("block", "word", "n").repartition("word")
-    word_counts = words.groupBy("word").agg(F.sum("n").alias("c"))
-    runs = inside.filter(F.col("run").isNotNull()).select("block", "run", "n").repartition("run")
-    run_counts = written(runs.groupBy("run").agg(F.sum("n").alias("c")))
-    entries, contexts = trie(run_counts.filter("c > 0"))
-    codes = coded(run_counts, entries, contexts)
-    totals = word_counts.filter("c > 0").agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct")).first()
+    words, runs = gathered(inside, "word", "string"), gathered(inside, "run", "long")
+    discard(inside)
+    release(spark)
+    entries, contexts = trie(runs.filter("c > 0").select("run", "c"))
+    codes = written(coded(runs, entries, contexts))
+    for t in (*entries, *contexts):
+        discard(t)
+    totals = words.filter("c > 0").agg(F.sum("c").alias("tokens"), F.count("*").alias("distinct")).first()
     totals = {"ends": ends, "tokens": (totals.tokens or 0) + ends, "distinct": totals.distinct + (ends > 0)}
     release(spark)
-    back = (
-        words.select("block", "word").join(word_counts, "word").select("block", "word", F.lit(None).cast("long").alias("run"), F.col("c").cast("double").alias("value"))
-        .unionByName(runs.select("block", "run").join(codes, "run").select("block", F.lit(None).cast("string").alias("word"), "run", "value"))
-    )
-    back = back.select(F.col("block").alias("b"), "word", "run", "value")
+    back = handed_back(words.withColumn("value", F.col("c")), "word").unionByName(handed_back(runs.join(codes, "run"), "run"))
     out = rows.groupBy("block").cogroup(back.groupBy("b")).applyInArrow(
         score_block(totals), f"k {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
