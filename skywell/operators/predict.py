@@ -16,19 +16,20 @@ def serving_rows(dense: DataFrame, ts: str, keys=(), horizon: int = HORIZON, **f
     """
     keys = list(keys)
     ends = series_bounds(dense, ts, keys).drop("t0")
-    seconds = (max(*features.get("lags", LAGS), TRAILING_ROWS) + horizon) * features.get("step", HOUR)
+    step = features.get("step", HOUR)
+    seconds = (max(*features.get("lags", LAGS), TRAILING_ROWS) + horizon) * step
     near = F.col(ts) >= F.timestamp_add("SECOND", F.lit(-seconds), F.col("_e.t1"))
     reach = attach(dense, ends, keys, "_e").filter(near).drop("_e")
     rows = build_features(reach, ts, keys, horizon=horizon, complete=False, **features).drop("y", "current")
     names = [c for c in rows.columns if c not in [*keys, ts]]
     anchors = attach(rows, ends, keys, "_e").withColumn(
-        "step", horizon - F.timestamp_diff("HOUR", F.col(ts), F.col("_e.t1"))
+        "step", horizon - F.floor(F.timestamp_diff("SECOND", F.col(ts), F.col("_e.t1")) / step)
     ).filter(F.col("step").between(1, horizon)).drop("_e")
     whole = anchors.dropna(subset=names).groupBy(*keys).agg(F.count("*").alias("n"))
     return (
         attach(anchors, whole, keys, "_w").filter(F.col("_w.n") == horizon).drop("_w")
         .withColumn("anchor", F.col(ts))
-        .withColumn(ts, F.col(ts) + F.expr(f"INTERVAL {horizon} HOURS"))
+        .withColumn(ts, F.timestamp_add("SECOND", F.lit(horizon * step), F.col(ts)))
     )
 
 
@@ -50,7 +51,7 @@ def forecast_latest(dense: DataFrame, predict, ts: str, keys=(), into: str = "pr
     done = predict(last.filter(F.col(ts).isNotNull())).select(*keys, ts, F.col(into).alias("_y"))
     return done.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).select(
         *keys,
-        F.timestamp_add("HOUR", F.col("step"), F.col(ts)).alias(ts),
+        F.timestamp_add("SECOND", F.col("step") * F.lit(options.get("step", HOUR)), F.col(ts)).alias(ts),
         F.col("step").cast("bigint").alias("step"),
         F.when(F.col("step") == horizon, F.col("_y")).alias(into),
     )

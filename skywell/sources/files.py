@@ -45,6 +45,12 @@ def read_batch(spark: SparkSession, path: str, batch_id: int, schema=None) -> Da
     return rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 
+def drop_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove one batch's folder, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_json(df: DataFrame, path: str) -> None:
     """Metrics snapshots as JSON lines."""
     df.write.mode("append").json(path)

@@ -5,7 +5,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from skywell.operators import live
 from skywell.schema import LIVE_WINDOWS, POLLUTANTS
-from skywell.sources.files import read_batch, write_by_batch
+from skywell.sources.files import drop_batch, read_batch, write_by_batch
 
 
 def tail_clean(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
@@ -39,6 +39,7 @@ def refresh(batch: DataFrame, batch_id: int, out: str, ts: str, keys=(), cols=PO
         merged = merged.groupBy(*dict.fromkeys([*keys, *identity])).agg(F.max_by(F.struct(*merged.columns), "_tie").alias("r")).select("r.*")
     newest = live.latest_rows(merged, max(LIVE_WINDOWS.values()), ts, "_tie", keys).drop("age", "_tie")
     write_by_batch(newest, f"{out}/state", batch_id)
+    drop_batch(spark, f"{out}/state", batch_id - 2)  # only the last batch can come again, and it reads the one before
 
     state = read_batch(spark, f"{out}/state", batch_id, state_schema).drop("batch_id")
     windows = live.last_n_windows(state, ts, ts, keys)

@@ -295,3 +295,15 @@ def test_forecast_of_a_short_series_comes_without_values(spark):
     both = fitted.unionByName(fitted.withColumn("k", F.lit("short"))).withColumn("steps", F.lit(3))
     got = seasonal.forecast(both, seasonal.tails(lagged, "ts", ["k"]), ["k"], "ts").collect()
     assert sorted((r.k, r["mean"] is None or r["mean"] != r["mean"]) for r in got) == [("long", False)] * 3 + [("short", True)] * 3
+
+
+def test_serving_a_series_of_another_step(spark):
+    """A quarter-hour series: anchors, reach and stamps go by its own step."""
+    rows = [(START + dt.timedelta(minutes=15 * i), float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, nox_gt double")
+    got = predict.serving_rows(df, "ts", step=900, exogenous=()).orderBy("step").collect()
+    assert [r.step for r in got] == [1, 2, 3, 4, 5, 6]
+    assert [r.ts for r in got] == [rows[-1][0] + dt.timedelta(minutes=15 * k) for k in range(1, 7)]
+    assert [r.nox_lag1 for r in got] == [float(199 - 6 + k - 1) for k in range(1, 7)]
+    last = predict.forecast_latest(df, lambda t: t.withColumn("prediction", F.lit(1.0)), "ts", step=900, exogenous=()).orderBy("ts").collect()
+    assert [r.ts for r in last] == [r.ts for r in got] and [r.prediction for r in last] == [None] * 5 + [1.0]
