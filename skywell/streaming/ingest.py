@@ -23,6 +23,26 @@ METRICS = (
 )
 
 
+# Types of errors.
+SAVE, EXCLUDED_SAVE, BATCH, CONSUMPTION = "SAVE_ERROR", "EXCLUDED_SAVE_ERROR", "BATCH_PROCESSING_ERROR", "CONSUMPTION_ERROR"
+ERRORS = "type string, message string, batch_id bigint"
+
+
+class IngestError(Exception):
+    """A failure with the type it is logged and counted under."""
+
+    def __init__(self, kind: str, cause: Exception):
+        super().__init__(str(cause))
+        self.kind = kind
+
+
+def saved(kind: str, df: DataFrame, path: str, batch_id: int) -> None:
+    try:
+        write_by_batch(df, path, batch_id)
+    except Exception as cause:
+        raise IngestError(kind, cause) from cause
+
+
 def ingest_batch(
     messages: DataFrame, batch_id: int, out: str, scope=("source",), widths=None, as_of=None
 ) -> None:
@@ -42,8 +62,8 @@ def ingest_batch(
             widths = fitted_widths(timed.filter("timestamp IS NOT NULL"), scope, "timestamp")
         clean, excluded = process_batch(flat, list(scope), ["timestamp", TIE], widths)
         clean = clean.drop(TIE)
-        write_by_batch(clean.observe(kept, *verdict(scored_columns(clean))), f"{out}/clean", batch_id)
-        write_by_batch(excluded.drop(TIE).observe(refused, F.count("*").alias("n")), f"{out}/excluded", batch_id)
+        saved(SAVE, clean.observe(kept, *verdict(scored_columns(clean))), f"{out}/clean", batch_id)
+        saved(EXCLUDED_SAVE, excluded.drop(TIE).observe(refused, F.count("*").alias("n")), f"{out}/excluded", batch_id)
     finally:
         flat.unpersist()
     seen = kept.get
@@ -55,28 +75,28 @@ def ingest_batch(
 
 
 class ProgressLog(StreamingQueryListener):
-    """F6 by the engine's own account: one JSON row per micro-batch of the named query."""
+    """F5, F6 by the engine's own account: a JSON row per micro-batch of the named query, and one where it ends in an error."""
 
-    def __init__(self, spark: SparkSession, query: str, path: str):
-        self.spark, self.query, self.path = spark, query, path
+    def __init__(self, spark: SparkSession, query: str, progress: str, errors: str):
+        self.spark, self.query, self.progress, self.errors, self.runs = spark, query, progress, errors, set()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        if event.name == self.query:
+            self.runs.add(str(event.runId))
 
     def onQueryProgress(self, event) -> None:
         p = json.loads(event.progress.json)
         if p["name"] == self.query and p["numInputRows"]:
             row = [(p["batchId"], p["timestamp"], p["numInputRows"], float(p.get("processedRowsPerSecond", 0.0)), p["durationMs"].get("triggerExecution", 0))]
             kind = "batch_id bigint, started string, rows bigint, rows_per_second double, milliseconds bigint"
-            append_json(self.spark.createDataFrame(row, kind), self.path)
+            append_json(self.spark.createDataFrame(row, kind), self.progress)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        if str(event.exception or ""):
-            row = [("QUERY_TERMINATED", str(event.exception), None)]
-            append_json(self.spark.createDataFrame(row, "type string, message string, batch_id bigint"), f"{self.path}_errors")
+        if str(event.runId) in self.runs and event.exception:
+            append_json(self.spark.createDataFrame([(CONSUMPTION, event.exception, None)], ERRORS), self.errors)
 
 
 def run_ingest(
@@ -93,9 +113,8 @@ def run_ingest(
         try:
             ingest_batch(batch, batch_id, out, scope, widths, as_of)
         except Exception as failure:
-            spark = batch.sparkSession
-            row = [("BATCH_PROCESSING_ERROR", str(failure), batch_id)]
-            append_json(spark.createDataFrame(row, "type string, message string, batch_id bigint"), f"{out}/errors")
+            row = [(getattr(failure, "kind", BATCH), str(failure), batch_id)]
+            append_json(batch.sparkSession.createDataFrame(row, ERRORS), f"{out}/errors")
             raise
 
     writer = messages.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)

@@ -1,14 +1,16 @@
 """Micro-batches without rows for one of their tables, and what the engine observes."""
 
 import datetime as dt
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from skywell.operators.metrics import batch_metrics, error_counts
 from skywell.plans import fixtures
 from skywell.sources.files import read_batch
-from skywell.sources.messages import decode, keyed
-from skywell.streaming.ingest import ingest_batch
+from skywell.sources.messages import decode, keyed, read_messages, write_messages
+from skywell.streaming.ingest import ProgressLog, ingest_batch, run_ingest
 from skywell.streaming.live import refresh
 from tests.test_queries import SF
 
@@ -70,6 +72,34 @@ def test_no_anomaly_in_the_last_batch_and_no_usable_time(spark, tmp_path):
     assert [read_batch(spark, f"{out}/anomalies", i).count() for i in range(3)] == [0, 1, 0]
 
 
-def test_error_rows_are_counted_by_type(spark):
-    rows = spark.createDataFrame([("A", "x", 1), ("A", "y", 2), ("B", "z", 2)], "type string, message string, batch_id bigint")
-    assert {r.type: r.n for r in error_counts(rows).collect()} == {"A": 2, "B": 1}
+def test_the_engines_progress_and_errors_are_logged_and_counted(spark, tmp_path):
+    """a table that can't be written, the restart that can, and what each micro-batch took in."""
+    out = tmp_path / "out"
+    write_messages(fixtures.raw_messages(spark, SF).filter("event_id < 300"), "json", str(tmp_path / "topic"))
+    stream = read_messages(spark, "json", str(tmp_path / "topic"))
+    log = ProgressLog(spark, "feed", f"{out}/progress", f"{out}/errors")
+    spark.streams.addListener(log)
+    try:
+        out.mkdir()
+        blocked = {"excluded": "EXCLUDED_SAVE_ERROR", "clean": "SAVE_ERROR"}
+        for name in blocked:  # a file stands where the table's folder should
+            (out / name).write_text("x")
+        for name in ("clean", "excluded", None):
+            job = run_ingest(stream, str(out), str(tmp_path / "offsets"), as_of="2024-02-01", name="feed")
+            if name is None:
+                job.awaitTermination()
+            else:
+                with pytest.raises(Exception):
+                    job.awaitTermination()
+                (out / name).unlink()
+        for _ in range(100):
+            if (out / "progress").exists() and spark.read.json(f"{out}/errors").count() == 4:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(log)
+    counted = {r.type: r.n for r in error_counts(spark.read.json(f"{out}/errors")).collect()}
+    assert counted == {"SAVE_ERROR": 1, "EXCLUDED_SAVE_ERROR": 1, "CONSUMPTION_ERROR": 2}
+    done = spark.read.json(f"{out}/progress").collect()
+    assert [r.batch_id for r in done] == [0] and done[0].rows >= 300 and done[0].milliseconds > 0
+    assert spark.read.parquet(f"{out}/metrics").first().messages == 300
