@@ -32,6 +32,20 @@ def folder(spark) -> str:
     return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4()}"
 
 
+def once(make):
+    """Run a stream once for a session and a set of tables; the queries on what it wrote share its folder."""
+    made: dict = {}
+
+    def shared(spark, sf_dir):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in made:
+            made[key] = make(spark, sf_dir)
+        return made[key]
+
+    return shared
+
+
+@once
 def ingested(spark, sf_dir) -> str:
     """Publish every message as files of whole days, ingest them in several micro-batches."""
     base = folder(spark)
@@ -99,6 +113,7 @@ def run_ingest_metrics(spark, sf_dir):
     return rows.agg(*[F.sum(c).alias(c) for c in ("messages", "total_records", "valid_records", "range_violations")])
 
 
+@once
 def live_output(spark, sf_dir) -> tuple[str, int]:
     """Feed the hourly table as files to the live job; the folder and its last batch."""
     base = folder(spark)
@@ -190,6 +205,7 @@ DELIVERED = (
 )
 
 
+@once
 def delivered(spark, sf_dir) -> str:
     """Publish readings in the order of their arrival, a file set for each; sort out the late ones."""
     base = folder(spark)
