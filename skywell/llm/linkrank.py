@@ -24,10 +24,13 @@ RULES = (
 )
 
 
+STEPS = 6  # between two written scores
+
+
 @dataclass(frozen=True)
 class RankSettings:
     damping: float = 0.85
-    tolerance: float = 1e-4  # change of all scores in three steps at which they stay, against the seeds' weights
+    tolerance: float = 1e-3  # change of all scores in a few steps at which they stay, against the seeds' weights
     threshold: float = 0.5  # share of a host's own rank
 
 
@@ -93,7 +96,7 @@ def propagate(edges: DataFrame, hosts: DataFrame, settings: RankSettings) -> Dat
     scores = hosts
     while True:
         before = scores.select("host", *[F.col(c).alias(f"b_{c}") for c in kinds])
-        for _ in range(3):
+        for _ in range(STEPS):
             carried = [F.sum(F.when(F.col("way") == way, F.col(c) * F.col("share")).otherwise(0.0)).alias(f"m_{c}") for c, way in zip(kinds, (1, -1, 1))]
             moved = scores.withColumnRenamed("host", "source").join(steps, "source").groupBy(F.col("target").alias("host")).agg(*carried)
             stepped = [(stay * F.col(f"s_{c}") + settings.damping * F.coalesce(f"m_{c}", F.lit(0.0))).alias(c) for c in kinds]
