@@ -97,7 +97,7 @@ def impute(df: DataFrame, scope, order, widths) -> DataFrame:
     """
     scope = list(scope)
     wanted = {f"_last_{c}": LastBefore(F.col(c)) for c in CARRIED} | neighbours(INTERPOLATED, located=True)
-    found = running(df, scope, order, wanted, widths)
+    found = running(df, scope, order, wanted, widths, gaps=True)
     filled = found.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_last_{c}")) for c in CARRIED}
         | {

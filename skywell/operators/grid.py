@@ -23,7 +23,7 @@ def dedupe_time(df: DataFrame, keys, ts: str, tiebreak: str) -> DataFrame:
 
 def ffill(df: DataFrame, cols, keys, order, widths) -> DataFrame:
     """Carry the last known value forward; `widths` as in `running`, `()` only for bounded groups."""
-    found = running(df, keys, order, {f"_last_{c}": LastBefore(F.col(c)) for c in cols}, widths)
+    found = running(df, keys, order, {f"_last_{c}": LastBefore(F.col(c)) for c in cols}, widths, gaps=True)
     return found.withColumns({c: F.coalesce(F.col(c), F.col(f"_last_{c}")) for c in cols}).drop(
         POSITION, *[f"_last_{c}" for c in cols]
     )
@@ -80,7 +80,7 @@ def interpolate(
     rows = by == "row"
     at = F.col(POSITION) if rows else epoch_seconds(order)
     reach = None if limit is None else limit * (1 if rows else step)
-    found = running(df, keys, order, neighbours(cols, rows, None if rows else at), widths)
+    found = running(df, keys, order, neighbours(cols, rows, None if rows else at), widths, gaps=True)
     return found.withColumns(
         {c: F.coalesce(F.col(c).cast("double"), between(F.col(f"_p_{c}"), F.col(f"_n_{c}"), at, reach)) for c in cols}
     ).drop(POSITION, *[f"_p_{c}" for c in cols], *[f"_n_{c}" for c in cols])

@@ -10,6 +10,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from skywell.functions.scalars import epoch_seconds
+from skywell.session import settle
 
 HOUR, DAY = 3600, 86_400
 # Seconds per bucket, then buckets per second-level bucket.
@@ -83,12 +84,14 @@ def _within(df: DataFrame, keys, order, wanted: dict, weight: Column) -> DataFra
     return df.withColumns({n: over(w) for n, w in wanted.items()})
 
 
-def _across(df: DataFrame, keys, order, wanted: dict, widths, weight: Column) -> DataFrame:
+def _across(df: DataFrame, keys, order, wanted: dict, widths, weight: Column, gaps: bool = False) -> DataFrame:
     if not widths:
         return _within(df, keys, order, wanted, weight)
     bucket = f"_b{len(widths)}"
     rows = df.withColumn(bucket, F.floor(order_number(df, order[0]) / F.lit(widths[0])))
     inner = _within(rows, [*keys, bucket], order, wanted, weight)
+    if gaps:
+        inner = settle(inner.withColumns({n: F.when(w.expr.isNull(), F.col(n)) for n, w in wanted.items()}))
     place = F.struct(*order) if len(order) > 1 else F.col(order[0])
 
     def edge(w):
@@ -100,6 +103,7 @@ def _across(df: DataFrame, keys, order, wanted: dict, widths, weight: Column) ->
     edges = inner.groupBy(*keys, bucket).agg(
         F.sum(weight).alias("_t_n"), *[edge(w).alias(f"_t_{n}") for n, w in wanted.items()]
     )
+    edges = settle(edges) if gaps else edges
     upper = {f"_c_{n}": replace(w, expr=F.col(f"_t_{n}")) for n, w in wanted.items()}
     carried = _across(edges, keys, [bucket], upper, widths[1:], F.col("_t_n")).select(
         *keys, bucket, F.col(POSITION).alias("_offset"), *upper
@@ -119,14 +123,16 @@ def _across(df: DataFrame, keys, order, wanted: dict, widths, weight: Column) ->
     )
 
 
-def running(df: DataFrame, keys, order, wanted: dict, widths=()) -> DataFrame:
+def running(df: DataFrame, keys, order, wanted: dict, widths=(), gaps: bool = False) -> DataFrame:
     """Add the `wanted` columns, each reaching any distance back or ahead within the key.
 
     Also adds `_at`, the row's position within its key. `widths` are the bucket sizes from fine
     to coarse; with none, one window per key is used, which fits keys whose groups are bounded
     (a micro-batch, a bucket). `order` names the column that is bucketed, followed by any
     tie-breaks that make the order unique within a key. With widths, `df` is read twice:
-    once for the one-row-per-bucket summary, once for the rows.
+    once for the one-row-per-bucket summary, once for the rows. With `gaps`, what is found is wanted
+    only where a row's own value is null: rows are then made and windowed a single time and written, which is cheap, as
+    most of them have nothing to find.
     """
     raw = {
         n: replace(w, expr=_found(w.expr, F.lit(0))) if getattr(w, "located", False) else w
@@ -135,9 +141,10 @@ def running(df: DataFrame, keys, order, wanted: dict, widths=()) -> DataFrame:
     order = [order] if isinstance(order, str) else list(order)
     # One struct of the keys is never NULL, so bucket edges join by plain equality and the join
     # finds both sides already partitioned.
-    own = ["_key"] if keys else []
-    rows = df.withColumn("_key", F.struct(*keys)) if keys else df
-    return _across(rows, own, order, raw, tuple(widths), F.lit(1)).select(*df.columns, POSITION, *wanted)
+    # Without buckets nothing is joined, and the keys themselves leave the rows as later windows over them want them.
+    own = ["_key"] if keys and widths else list(keys)
+    rows = df.withColumn("_key", F.struct(*keys)) if keys and widths else df
+    return _across(rows, own, order, raw, tuple(widths), F.lit(1), gaps).select(*df.columns, POSITION, *wanted)
 
 
 def halo(df: DataFrame, ts: str, back: int, ahead: int, width: int) -> DataFrame:
