@@ -62,3 +62,14 @@ def test_fills_read_the_rows_of_a_series_once(spark, tmp_path, fill):
     assert not [f for f in done.inputFiles() if "/source/" in f]
     plain = lambda df: sorted(str([round(v, 9) if isinstance(v, float) else v for v in r]) for r in df.collect())
     assert plain(done) == plain(make(()))
+
+
+def test_bounded_fills_and_means_share_one_shuffle(spark):
+    rows = spark.range(40).select(
+        "id", F.expr("id div 10").alias("b"), F.lit("2024-01-01T00:00:00").alias("timestamp"), F.lit("01/01/2024").alias("date"),
+        F.lit("00.00.00").alias("time"), F.lit("s").alias("source"), F.lit(True).alias("simulation"),
+        *[F.when(F.col("id") % 3 == 0, "-200").otherwise(F.col("id").cast("string")).alias(c) for c in SENSORS],
+    )
+    excluded = process_batch(rows, ["b"], "id", ())[1]
+    excluded.collect()
+    assert excluded._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
