@@ -7,12 +7,13 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from skywell.operators.clean import flatten_messages
+from skywell.operators.clean import flatten_messages, type_columns
 from skywell.operators.metrics import alerts
 from skywell.operators.ordered import fitted_widths
 from skywell.operators.quality import scored_columns, verdict
-from skywell.plans.pipeline import process_batch
+from skywell.plans.pipeline import process_typed
 from skywell.schema import FLAT_COLUMNS
+from skywell.session import scratch, settle
 from skywell.sources.files import append_json, write_by_batch
 
 TIE = "_tie"
@@ -48,24 +49,22 @@ def ingest_batch(
 ) -> None:
     """One micro-batch. Every output is a folder of its batch id, so a repeat replaces it.
 
-    The decoded batch is cached on the executors while its tables are written; what the metrics need is
-    observed as the rows are written, so nothing is read twice. Any table may get no row. Without
+    Messages are decoded and typed once, into files that go with the batch; what the metrics need is
+    observed as the rows are written. Any table may get no row. Without
     `widths` the buckets that long series are cut into are sized from the batch's own density, so that no source can
     fill one task.
     """
     spark, started = messages.sparkSession, time.time()
-    flat = flatten_messages(messages).withColumn(TIE, F.xxhash64(*FLAT_COLUMNS)).persist()
+    flat = flatten_messages(messages).withColumn(TIE, F.xxhash64(*FLAT_COLUMNS))
     kept, refused = Observation(), Observation()
-    try:
+    with scratch():
+        typed = settle(type_columns(flat))
         if widths is None:
-            timed = flat.select(*scope, F.col("timestamp").try_cast("timestamp_ntz").alias("timestamp"))
-            widths = fitted_widths(timed.filter("timestamp IS NOT NULL"), scope, "timestamp")
-        clean, excluded = process_batch(flat, list(scope), ["timestamp", TIE], widths)
+            widths = fitted_widths(typed.filter("timestamp IS NOT NULL"), scope, "timestamp")
+        clean, excluded = process_typed(typed, list(scope), ["timestamp", TIE], widths)
         clean = clean.drop(TIE)
         saved(SAVE, clean.observe(kept, *verdict(scored_columns(clean))), f"{out}/clean", batch_id)
         saved(EXCLUDED_SAVE, excluded.drop(TIE).observe(refused, F.count("*").alias("n")), f"{out}/excluded", batch_id)
-    finally:
-        flat.unpersist()
     seen = kept.get
     at = datetime.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of or datetime.datetime.now()
     row = {"batch_id": batch_id, "messages": seen["total_records"] + refused.get["n"], "seconds": time.time() - started, "batch_time": at, **seen}

@@ -46,6 +46,26 @@ def settled(spark):
     return set(glob.glob(f"{checkpoint_dir(spark)}/settled-*"))
 
 
+def test_a_day_of_messages_is_published_by_many_tasks(spark, tmp_path, one_file_a_task):
+    out = stream_queries.ingested(spark, tables(spark, tmp_path))
+    assert len(written(f"{os.path.dirname(out)}/topic", "json")) >= 4
+    assert spark.read.parquet(f"{out}/metrics").agg(F.sum("messages"), F.max("batch_id")).first()[:] == (400, 2)
+
+
+def test_a_batch_types_its_messages_once_and_leaves_no_files(spark, tmp_path, monkeypatch):
+    spark.range(1).count()
+    before, calls = settled(spark), []
+    from skywell.streaming import ingest
+
+    monkeypatch.setattr(ingest, "settle", lambda df, settle=ingest.settle: calls.append(df.columns) or settle(df))
+    from skywell.plans import fixtures
+
+    ingest_batch(decode(keyed(fixtures.raw_messages(spark, tables(spark, tmp_path / "t")))), 0, str(tmp_path / "out"))
+    assert len(calls) == 1 and "exclusion_reason" in calls[0]
+    assert settled(spark) == before
+    assert sum(spark.read.parquet(f"{tmp_path}/out/{t}").count() for t in ("clean", "excluded")) == 400
+
+
 @pytest.mark.parametrize("fill", ["impute", "ffill", "interpolate"])
 def test_fills_read_the_rows_of_a_series_once(spark, tmp_path, fill):
     """What is filled comes from the windowed rows as written, not from the source again."""
