@@ -207,7 +207,7 @@ DELIVERED = (
 
 @once
 def delivered(spark, sf_dir) -> str:
-    """Publish readings in the order of their arrival, a file set for each; sort out the late ones."""
+    """Publish readings in the order of their arrival, and sort out the late ones of what has come each time."""
     base = folder(spark)
     events = fixtures.events(spark, sf_dir)
     last = events.agg(F.max("event_id")).first()[0]
@@ -217,11 +217,11 @@ def delivered(spark, sf_dir) -> str:
     again = rows.filter("event_id % 40 = 3").withColumn("arrival", F.least(F.col("arrival") + 1, F.lit(ARRIVALS - 1)))
     rows = rows.unionByName(again)
     kind = rows.drop("arrival").schema
-    for i in range(ARRIVALS):  # files are read in the order they were written; one set makes a batch
-        rows.filter(F.col("arrival") == i).drop("arrival").coalesce(1).write.mode("append").parquet(f"{base}/topic")
-    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(f"{base}/topic")
-    stream = stream.withColumn(event_time.AT, event_time.as_event_time("timestamp"))
-    event_time.run_sort_out(stream, f"{base}/out", f"{base}/offsets", DELAY).awaitTermination()
+    for i in range(ARRIVALS):  # one set of files makes a batch, however many tasks write it
+        rows.filter(F.col("arrival") == i).drop("arrival").write.mode("append").parquet(f"{base}/topic")
+        stream = spark.readStream.schema(kind).parquet(f"{base}/topic")
+        stream = stream.withColumn(event_time.AT, event_time.as_event_time("timestamp"))
+        event_time.run_sort_out(stream, f"{base}/out", f"{base}/offsets", DELAY).awaitTermination()
     return base
 
 

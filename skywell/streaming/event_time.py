@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from skywell.sources.files import read_batch, write_by_batch
 
 AT = "event_time"
+MERGED = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 LATE, NO_TIME = "LATE", "NO_EVENT_TIME"
 
 
@@ -47,8 +48,11 @@ def started(writer, checkpoint: str, once: bool, interval: str) -> StreamingQuer
 
 
 def on_time(spark: SparkSession, out: str, schema, delay: str, identity) -> DataFrame:
-    """The stream of readings that came in time, each once: a repeat within the delay is dropped by `identity`."""
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1_000).parquet(f"{out}/on_time")
+    """The stream of readings that came in time, each once: a repeat within the delay is dropped by `identity`.
+
+    What has come is read whole: a number of files might cut a batch, and its later part be late for its earlier one.
+    """
+    rows = spark.readStream.schema(schema).parquet(f"{out}/on_time")
     return rows.withWatermark(AT, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
@@ -67,8 +71,14 @@ def sessions(readings: DataFrame, gap: str, keys, **aggregates: Column) -> DataF
 
 
 def run_table(rows: DataFrame, out: str, checkpoint: str, once: bool = True, interval: str = "10 seconds") -> StreamingQuery:
-    """Write what a stream emits, a folder for each batch."""
-    return started(rows.writeStream.outputMode("append").foreachBatch(lambda batch, i: write_by_batch(batch, out, i)), checkpoint, once, interval)
+    """Write what a stream emits, a folder for each batch. Session windows are merged before rows are shuffled by their key."""
+    spark = rows.sparkSession
+    before = spark.conf.get(MERGED, None)
+    spark.conf.set(MERGED, "true")
+    try:
+        return started(rows.writeStream.outputMode("append").foreachBatch(lambda batch, i: write_by_batch(batch, out, i)), checkpoint, once, interval)
+    finally:
+        spark.conf.unset(MERGED) if before is None else spark.conf.set(MERGED, before)
 
 
 def as_event_time(text: str) -> Column:

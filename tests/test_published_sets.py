@@ -84,6 +84,27 @@ def test_fills_read_the_rows_of_a_series_once(spark, tmp_path, fill):
     assert plain(done) == plain(make(()))
 
 
+def test_each_arrival_is_written_by_many_tasks_and_is_one_batch(spark, tmp_path, one_file_a_task):
+    base = stream_queries.delivered(spark, tables(spark, tmp_path, step=3600))
+    assert len(written(f"{base}/topic", "parquet")) > stream_queries.ARRIVALS
+    batches = spark.read.parquet(f"{base}/out/on_time").select("batch_id").distinct().count()
+    assert batches == stream_queries.ARRIVALS
+
+
+def test_sessions_are_merged_before_they_are_shuffled(spark, tmp_path):
+    spark.range(200).select(
+        F.timestamp_add("MINUTE", F.col("id"), F.lit(START)).alias("event_time"), F.lit(1).alias("station")
+    ).write.parquet(f"{tmp_path}/rows")
+    rows = spark.readStream.schema("event_time timestamp, station int").parquet(f"{tmp_path}/rows").withWatermark("event_time", "1 hour")
+    job = event_time.run_table(
+        event_time.sessions(rows, "10 minutes", ["station"], n=F.count("*")), f"{tmp_path}/out", f"{tmp_path}/offsets"
+    )
+    job.awaitTermination()
+    below = job._jsq.explainInternal(False).split("Exchange hashpartitioning(station")[-1]
+    assert "MergingSessions" in below or "UpdatingSessions" in below
+    assert spark.conf.get(event_time.MERGED, "false") == "false"
+
+
 def test_bounded_fills_and_means_share_one_shuffle(spark):
     rows = spark.range(40).select(
         "id", F.expr("id div 10").alias("b"), F.lit("2024-01-01T00:00:00").alias("timestamp"), F.lit("01/01/2024").alias("date"),
