@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from skywell.llm.common import fresh, query, small_batches, table, written
+from skywell.llm.common import fresh, query, small_batches, table, together, written
 
 CAPACITY = 2048
 END = 0
@@ -100,16 +100,21 @@ class ChunkIds:
         inner = pc.if_else(pc.starts_with(unique, "\n"), unique, pc.binary_join_element_wise("", unique, " "))
         names = pa.concat_arrays([unique, inner])  # as the start of a text, and within
         at = at + np.where(begins[:-1], 0, len(unique))
-        used = np.unique(at)
+        seen = np.zeros(len(names), np.bool_)
+        seen[at] = True
+        used = np.flatnonzero(seen)
         wanted = names.take(pa.array(used))
         if len(self.known) > CACHED:
             self.forget()
         wanted = wanted.to_numpy(zero_copy_only=False).tolist()
-        new = [c for c in wanted if c not in self.known]
-        if new:
+        place = self.known.get
+        found = np.fromiter((place(c, -1) for c in wanted), np.int64, len(wanted))
+        if len(missing := np.flatnonzero(found < 0)):
+            new = [wanted[i] for i in missing.tolist()]
             self.learn(new)
+            found[missing] = [self.known[c] for c in new]
         where = np.zeros(len(names), np.int64)
-        where[used] = [self.known[c] for c in wanted]
+        where[used] = found
         ids, lengths = self.gathered(where[at])
         stops = np.concatenate(([0], np.cumsum(lengths)))
         even = iter(np.split(ids, stops[bounds[1:-1]]) if len(bounds) > 1 else [])
@@ -212,7 +217,7 @@ def pack_whole(
 
     def tokenize(batches):
         ids_of, part, row, full = chunk_ids(path), TaskContext.get().partitionId(), 0, 0
-        for b in batches:
+        for b in together(batches, 1):
             made = [[] for _ in range(6)]
             for i, ids in enumerate(ids_of(b.column(1), end)):
                 head = len(ids) % capacity

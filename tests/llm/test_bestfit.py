@@ -119,3 +119,29 @@ def test_query(spark):
     assert used <= least + 1
     got = {(r.doc_id, r.piece): r for r in bestfit.op12_bestfit(spark, sf).collect()}
     assert all(got[r.doc_id, r.piece].ids_crc32 == zlib.crc32(bytes(r.ids)) for r in pieces) and len(got) == len(pieces)
+
+
+def test_a_known_chunk_is_looked_up_once():
+    """Most of a batch's chunks are known; each of them costs one look."""
+    looks = []
+
+    class Counted(dict):
+        def get(self, *a):
+            looks.append(a[0])
+            return super().get(*a)
+
+        def __contains__(self, k):
+            looks.append(k)
+            return super().__contains__(k)
+
+        def __getitem__(self, k):
+            looks.append(k)
+            return super().__getitem__(k)
+
+    ids_of = bestfit.ChunkIds(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = pa.array(["one two three, one two", None, "two one\nthree", " odd  spaces "])
+    first = ids_of(texts, 0)
+    ids_of.known = Counted(ids_of.known)
+    again = ids_of(texts, 0)
+    assert [x.tolist() for x in again] == [x.tolist() for x in first]
+    assert len(looks) == len(set(looks)) > 0
